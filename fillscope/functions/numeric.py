@@ -16,10 +16,9 @@ def half_even(value: Column, digits: int) -> Column:
     return F.rint(value * scale) / scale
 
 
-def grid_mean(value: Column, weight: Column | None = None) -> Column:
+def grid_mean(value: Column) -> Column:
     """Mean of a ratio, independent of row order (see RATIO_GRID)."""
-    held = F.when(weight, value) if weight is not None else value
-    return F.sum(F.rint(held * RATIO_GRID)) / RATIO_GRID / F.count(held)
+    return F.sum(F.rint(value * RATIO_GRID)) / RATIO_GRID / F.count(value)
 
 
 def clamp(value: Column, low: float, high: float) -> Column:

@@ -5,16 +5,17 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Fixed value: the time format of the block table (UTC).
-BLOCK_TIME_FORMAT = "yyyy-MM-dd'T'HH:mm:ssX"
-_SHAPE = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}Z$"
+# Fixed value: the time format of the block table, UTC.
+BLOCK_TIME_SHAPE = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}Z$"
 SECONDS_PER_DAY = 86400
 
 
 def block_epoch(text: Column) -> Column:
-    """Seconds since 1970 UTC, NULL for text that is not a block time."""
-    parsed = F.unix_seconds(F.try_to_timestamp(text, F.lit(BLOCK_TIME_FORMAT)))
-    return F.when(text.rlike(_SHAPE), parsed)
+    """Seconds since 1970 UTC, NULL for text that is not a block time.
+
+    The cast parses this one format several times faster than a format pattern.
+    """
+    return F.when(text.rlike(BLOCK_TIME_SHAPE), F.unix_seconds(text.try_cast("timestamp")))
 
 
 def utc_time(epoch: Column) -> Column:
@@ -22,8 +23,3 @@ def utc_time(epoch: Column) -> Column:
     return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(
         F.lit(0), F.lit(0), F.lit(0), epoch.cast("decimal(18,6)")
     )
-
-
-def whole_days(first: Column, last: Column) -> Column:
-    """Elapsed whole days between two epochs."""
-    return F.floor((last - first) / SECONDS_PER_DAY)

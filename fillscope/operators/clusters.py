@@ -18,6 +18,9 @@ from fillscope.schemas import BUYS_ONLY
 CLUSTERS = 7
 FIRST_SEED = 42
 STARTS = 20
+# Movement of a center below which a fit has converged: the square root of 1e-4
+# times the mean variance of standardized features next to six flags.
+TOLERANCE = 0.0075
 
 
 def fit_kmeans(
@@ -25,7 +28,7 @@ def fit_kmeans(
     k: int = CLUSTERS,
     starts: int = STARTS,
     seed: int = FIRST_SEED,
-    parallelism: int = 4,
+    parallelism: int = 8,
 ) -> KMeansModel:
     """The model of least cost over several seeds.
 
@@ -34,7 +37,7 @@ def fit_kmeans(
     """
 
     def fit(current: int) -> KMeansModel:
-        return KMeans(k=k, seed=current, initSteps=2, maxIter=300, tol=1e-4).fit(vectors)
+        return KMeans(k=k, seed=current, initSteps=2, maxIter=300, tol=TOLERANCE).fit(vectors)
 
     # Wrapped once per call: the wrapper hands over the caller's local properties.
     task = inheritable_thread_target(vectors.sparkSession)(fit)
@@ -43,8 +46,14 @@ def fit_kmeans(
     return min(models, key=lambda model: model.summary.trainingCost)
 
 
+# Rows per partition from which a k-means pass outweighs scheduling its task.
+ROWS_PER_FIT_TASK = 50_000
+
+
 def kmeans_clusters(vectors: DataFrame, **settings) -> DataFrame:
-    stored = vectors.cache()
+    """Cluster labels from the best fit; ``vectors`` is read many times."""
+    tasks = max(1, vectors.count() // ROWS_PER_FIT_TASK)
+    stored = vectors.coalesce(tasks).cache() if tasks < vectors.rdd.getNumPartitions() else vectors.cache()
     try:
         model = fit_kmeans(stored, **settings)
     finally:

@@ -6,12 +6,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fillscope.functions import fills
-from fillscope.functions.numeric import clamp, grid_mean, half_even
-from fillscope.functions.times import whole_days
+from fillscope.functions.numeric import RATIO_GRID, clamp, grid_mean, half_even
+from fillscope.functions.times import SECONDS_PER_DAY
 from fillscope.operators.markets import DEFAULT_THRESHOLD, tokens
 from fillscope.operators.positions import position_units
 from fillscope.scale import lookup_join
-from fillscope.schemas import BUYS_ONLY, STAT_COLUMNS, require_columns
+from fillscope.schemas import BUYS_ONLY, require_columns
 
 # Fixed values of the proxy win rate.
 PROXY_BASE = 0.40
@@ -59,33 +59,34 @@ def win_rate_leaderboard(
     )
 
 
-def _measures(counted: Column, suffix: str) -> list[Column]:
-    """Aggregates over the positions where ``counted`` holds, NULL without any.
-
-    Amounts are summed as integer-valued doubles, ratios on a fixed grid; both are
-    exact far beyond the volume of a trader, so the result does not depend on
-    partitioning, retries or the order of shuffle blocks.
-    """
-
-    def held(value: Column) -> Column:
-        return F.when(counted, value)
-
-    n = F.count(held(F.lit(1)))
-    volume = F.sum(held(F.col("dollar_units").cast("double"))) / fills.UNIT
-    gains = F.sum(held(F.col("profit_units").cast("double"))) / fills.UNIT
-    wins = F.count(held(F.when(F.col("won"), 1)))
-    days = whole_days(F.min(held(F.col("epoch"))), F.max(held(F.col("epoch"))))
-    values = {
-        "win_rate": wins / n,
-        "avg_trade_size": volume / n,
-        "total_trade_volume": volume,
-        "total_trade_number": n,
-        "frequency": F.when(n > 1, n / (days + 1)).otherwise(F.lit(0.0)),
-        "net_gains_loss": gains,
-        "avg_odds": grid_mean(F.col("odds"), counted),
-        "profit_per_trade": gains / n,
+# The same aggregates over all positions and, where ``bought_contract`` holds, over
+# buys. Amounts are summed as integer-valued doubles and ratios on a fixed grid; both
+# are exact far beyond the volume of one trader, so the sums do not depend on
+# partitioning, retries or the order of shuffle blocks.
+_SUMS = {
+    "n": "count(*)",
+    "wins": "count_if(won)",
+    "dollars": "sum(dollar_units)",
+    "gains": "sum(profit_units)",
+    "odds": "sum(odds_grid)",
+    "first": "min(epoch)",
+    "last": "max(epoch)",
+}
+
+
+def _measures(sums: str, suffix: str) -> list[Column]:
+    """The eight metrics from the columns of one set of sums."""
+    expressions = {
+        "win_rate": "{0}wins / {0}n",
+        "avg_trade_size": "({0}dollars / 1e6D) / {0}n",
+        "total_trade_volume": "{0}dollars / 1e6D",
+        "total_trade_number": "{0}n",
+        "frequency": f"if({{0}}n > 1, {{0}}n / (floor(({{0}}last - {{0}}first) / {SECONDS_PER_DAY}) + 1), 0D)",
+        "net_gains_loss": "{0}gains / 1e6D",
+        "avg_odds": f"{{0}}odds / {RATIO_GRID}D / {{0}}n",
+        "profit_per_trade": "({0}gains / 1e6D) / {0}n",
     }
-    return [F.when(n > 0, value).alias(name + suffix) for name, value in values.items()]
+    return [F.expr(text.format(sums)).alias(name + suffix) for name, text in expressions.items()]
 
 
 def trader_stats(
@@ -100,14 +101,25 @@ def trader_stats(
     One aggregate with partial sums on the map side: a trader with a third of all
     fills reaches the reducer as one row per map task.
     """
-    units = position_units(trades, blocks, markets, traders, threshold)
-    buys = F.col("bought_contract")
-    with_buys = units.groupBy("trader").agg(
-        F.count(F.when(buys, 1)).alias("n_buys"),
-        *_measures(F.lit(True), ""),
-        *_measures(buys, BUYS_ONLY),
+    units = position_units(trades, blocks, markets, traders, threshold).selectExpr(
+        "trader",
+        "bought_contract",
+        "won",
+        "epoch",
+        "double(dollar_units) AS dollar_units",
+        "double(profit_units) AS profit_units",
+        f"rint(odds * {RATIO_GRID}D) AS odds_grid",
+    )
+    sums = units.groupBy("trader").agg(
+        *[F.expr(text).alias(f"all_{name}") for name, text in _SUMS.items()],
+        *[
+            F.expr(f"{text} FILTER (WHERE bought_contract)").alias(f"buy_{name}")
+            for name, text in _SUMS.items()
+        ],
+    )
+    return sums.filter("buy_n > 0").select(
+        "trader", *_measures("all_", ""), *_measures("buy_", BUYS_ONLY)
     )
-    return with_buys.filter(F.col("n_buys") > 0).select("trader", *STAT_COLUMNS)
 
 
 def two_sided_positions(fills_: DataFrame) -> DataFrame:

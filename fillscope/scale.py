@@ -22,6 +22,8 @@ BROADCAST_LIMIT_BYTES = 256 * 1024 * 1024
 # In-memory cost of one row in a broadcast hash relation beyond its values.
 ROW_OVERHEAD_BYTES = 48
 
+_measured: dict[tuple, int] = {}
+
 
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder for intermediate results.
@@ -95,7 +97,11 @@ def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_LIMIT_BYTES) -> Dat
         return df
     if estimate is not None and (estimate <= automatic or estimate > 8 * limit):
         return df
-    return F.broadcast(df) if measured_bytes(df) <= limit else df
+    # The estimate follows the sizes of the files, so a grown table is measured anew.
+    key = (spark.sparkContext.applicationId, df.semanticHash(), estimate)
+    if key not in _measured:
+        _measured[key] = measured_bytes(df)
+    return F.broadcast(df) if _measured[key] <= limit else df
 
 
 def lookup_join(
