@@ -1,0 +1,284 @@
+"""Density clusters: the cluster hierarchy over a minimum spanning tree.
+
+With one neighbour as the density sample, the density distance of two points equals
+their plain distance, so the hierarchy is that of the Euclidean minimum spanning
+tree. The result is exact:
+
+1. Equal vectors become one weighted point. Points are ordered along a space-filling
+   curve and cut into blocks of bounded size.
+2. Spanning trees of single blocks, then of block pairs, are computed inside tasks
+   that hold two blocks at most; only tree edges leave a task. Pairs are visited by
+   growing distance of their bounding boxes, and a pair whose points are already
+   joined by shorter edges is left out.
+3. The trees are reduced to one by contraction rounds over DataFrames.
+4. Tree edges, ranked by length, are merged slice by slice into the cluster
+   hierarchy; a slice has bounded size and passes on only component summaries.
+"""
+
+from __future__ import annotations
+
+from functools import reduce
+
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from fillscope.operators.density_kernels import EVENT_SCHEMA, TREE_SCHEMA, merger, spanning_tree
+from fillscope.scale import cut_lineage, global_rank
+
+MIN_CLUSTER_SIZE = 23
+BLOCK_SIZE = 2_000
+SLICE_SIZE = 500_000
+# Up to this many block pairs, a single unpruned visit is cheaper than stages.
+PLAIN_PAIRS = 64
+NOISE = -1
+
+
+def _curve(features: Column, width: int, bits: int = 4, reach: float = 3.0) -> Column:
+    """Position on a Z-order curve over the leading dimensions."""
+    steps = 2**bits - 1
+    cells = [
+        F.floor(F.greatest(F.lit(0.0), F.least(F.lit(1.0), (features[d] + reach) / (2 * reach))) * steps)
+        for d in range(min(width, 60 // bits))
+    ]
+    code = F.lit(0).cast("long")
+    for bit in reversed(range(bits)):
+        for cell in cells:
+            code = F.shiftleft(code, 1) + F.shiftright(cell, bit) % 2
+    return code
+
+
+def blocked_points(vectors: DataFrame, block_size: int) -> DataFrame:
+    """Distinct vectors with a dense id, their number of copies and their block."""
+    arrays = vectors.select(vector_to_array("features").alias("features"))
+    distinct = arrays.groupBy("features").agg(F.count(F.lit(1)).alias("copies"))
+    first = distinct.select(F.size("features")).first()
+    curve = _curve(F.col("features"), first[0] if first else 0)
+    ranked = global_rank(distinct.withColumn("curve", curve), [F.col("curve"), F.col("features")], "id")
+    return cut_lineage(
+        ranked.select("id", "features", "copies", F.floor(F.col("id") / block_size).alias("block"))
+    )
+
+
+def _pair_trees(points: DataFrame, pairs: DataFrame) -> DataFrame:
+    """Spanning tree edges of the points of each pair of blocks (at most two blocks
+    of rows in a group)."""
+    members = pairs.select("left", "right", F.explode(F.array_distinct(F.array("left", "right"))).alias("block"))
+    rows = members.join(points.select("block", "id", "features"), "block")
+    return rows.select("left", "right", "id", "features").groupBy("left", "right").applyInPandas(
+        spanning_tree, TREE_SCHEMA
+    )
+
+
+def _block_pairs(points: DataFrame, blocks: int) -> DataFrame:
+    """Every pair of blocks with the distance between their bounding boxes.
+
+    One row per pair of blocks, made from block summaries, never from points.
+    """
+    axes = points.select("block", F.posexplode("features").alias("axis", "value"))
+    edges = axes.groupBy("block", "axis").agg(F.min("value").alias("low"), F.max("value").alias("high"))
+    ordered = F.sort_array(F.collect_list(F.struct("axis", "low", "high")))
+    boxes = cut_lineage(edges.groupBy("block").agg(ordered.alias("box")))
+    left = boxes.select(
+        F.col("block").alias("left"),
+        F.col("box").alias("left_box"),
+        F.explode(F.sequence(F.col("block") + 1, F.lit(blocks).cast("long"))).alias("right"),
+    )
+    gap = F.expr(
+        "sqrt(aggregate(zip_with(left_box, right_box, (a, b) -> "
+        "pow(greatest(0D, a.low - b.high, b.low - a.high), 2)), 0D, (sum, part) -> sum + part))"
+    )
+    right = boxes.select(F.col("block").alias("right"), F.col("box").alias("right_box"))
+    return left.join(right, "right").select("left", "right", gap.alias("gap"))
+
+
+def _follow(parents: DataFrame) -> DataFrame:
+    """Replace every parent by the root above it, doubling the path each round."""
+    while True:
+        above = parents.select(F.col("node").alias("parent"), F.col("parent").alias("above"))
+        stepped = cut_lineage(
+            parents.join(above, "parent", "left").select(
+                "node",
+                F.coalesce("above", "parent").alias("parent"),
+                (F.coalesce("above", "parent") != F.col("parent")).alias("moved"),
+            )
+        )
+        parents = stepped.select("node", "parent")
+        if stepped.filter("moved").isEmpty():
+            return parents
+
+
+def spanning_forest(edges: DataFrame) -> DataFrame:
+    """The minimum spanning forest of an edge list ``u, v, w``.
+
+    Each round every component takes its shortest outgoing edge (a partial aggregate,
+    so a giant component is no hot key) and the components so joined are contracted;
+    at least half of them vanish.
+    """
+    live = cut_lineage(edges.select("u", "v", "w", F.col("u").alias("a"), F.col("v").alias("b")))
+    chosen = []
+    while True:
+        ends = live.select(F.col("a").alias("node"), F.struct("w", "u", "v", F.col("b").alias("other")).alias("edge"))
+        ends = ends.unionByName(
+            live.select(F.col("b").alias("node"), F.struct("w", "u", "v", F.col("a").alias("other")).alias("edge"))
+        )
+        best = cut_lineage(ends.groupBy("node").agg(F.min("edge").alias("edge")).select("node", "edge.*"))
+        if best.isEmpty():
+            break
+        chosen.append(best.select("u", "v", "w"))
+        back = best.select(F.col("node").alias("other"), F.struct("u", "v").alias("back"))
+        mutual = F.col("back") == F.struct("u", "v")
+        parents = best.join(back, "other").select(
+            "node",
+            F.when(mutual & (F.col("node") < F.col("other")), F.col("node")).otherwise(F.col("other")).alias("parent"),
+        )
+        roots = _follow(cut_lineage(parents))
+        for side in ("a", "b"):
+            named = roots.select(F.col("node").alias(side), F.col("parent").alias("root"))
+            live = live.join(named, side).drop(side).withColumnRenamed("root", side)
+        live = cut_lineage(live.filter("a <> b").groupBy("u", "v", "w", "a", "b").agg(F.lit(1)).drop("1"))
+    if not chosen:
+        return edges.select("u", "v", "w").limit(0)
+    return reduce(DataFrame.unionByName, chosen).distinct()
+
+
+def _components(points: DataFrame, edges: DataFrame) -> DataFrame:
+    """``id`` and ``component`` under the given forest edges, by repeated contraction."""
+    labels = points.select("id", F.col("id").alias("component"))
+    live = cut_lineage(edges.select(F.col("u").alias("a"), F.col("v").alias("b")))
+    while not live.isEmpty():
+        ends = live.unionByName(live.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        lowest = ends.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("b"))
+        roots = _follow(
+            cut_lineage(lowest.select("node", F.least("node", "b").alias("parent")))
+        )
+        for side in ("a", "b"):
+            named = roots.select(F.col("node").alias(side), F.col("parent").alias("root"))
+            live = live.join(named, side).drop(side).withColumnRenamed("root", side)
+        live = cut_lineage(live.filter("a <> b").distinct())
+        moved = roots.select(F.col("node").alias("component"), F.col("parent").alias("root"))
+        labels = cut_lineage(
+            labels.join(moved, "component", "left").select("id", F.coalesce("root", "component").alias("component"))
+        )
+    return labels
+
+
+def euclidean_tree(points: DataFrame, plain_pairs: int = PLAIN_PAIRS) -> DataFrame:
+    """The minimum spanning tree over all points, as edges ``u, v, w``."""
+    blocks = points.agg(F.max("block")).first()[0]
+    single = points.select(F.col("block").alias("left"), F.col("block").alias("right")).distinct()
+    tree = cut_lineage(_pair_trees(points, single))
+    if not blocks:
+        return tree
+    pairs = cut_lineage(_block_pairs(points, blocks))
+    radii = [float("inf")]
+    if blocks * (blocks + 1) // 2 > plain_pairs:
+        typical = tree.agg(F.percentile_approx("w", 0.99)).first()[0]
+        radii = [typical, 4 * typical, float("inf")] if typical else radii
+    reached, open_pairs = -1.0, pairs
+    for radius in radii:
+        visit = open_pairs.filter((F.col("gap") > reached) & (F.col("gap") <= radius))
+        tree = cut_lineage(spanning_forest(tree.unionByName(_pair_trees(points, visit))))
+        reached = radius
+        if radius != radii[-1]:
+            # Edges up to the radius are final. Two blocks lying in one and the same
+            # component can add nothing that is longer.
+            inside = _components(points, tree.filter(F.col("w") <= radius))
+            spread = inside.join(points.select("id", "block"), "id").groupBy("block").agg(
+                F.min("component").alias("low"), F.max("component").alias("high")
+            )
+            whole = spread.filter("low = high").select("block", F.col("low").alias("component"))
+            left = whole.select(F.col("block").alias("left"), F.col("component").alias("left_component"))
+            right = whole.select(F.col("block").alias("right"), F.col("component").alias("right_component"))
+            joined = F.coalesce(F.col("left_component") == F.col("right_component"), F.lit(False))
+            open_pairs = cut_lineage(
+                pairs.join(left, "left", "left").join(right, "right", "left").filter(~joined).select(*pairs.columns)
+            )
+    return tree
+
+
+def cluster_hierarchy(
+    points: DataFrame, tree: DataFrame, smallest: int, slice_size: int
+) -> tuple[DataFrame, DataFrame]:
+    """Cluster of every point that reaches one, and the closed clusters.
+
+    A point's cluster is the one it leaves first when distances shrink.
+    """
+    dense = F.col("copies") >= smallest
+    info = points.select(
+        F.col("id").alias("node"),
+        F.col("copies").alias("size"),
+        F.when(dense, -F.col("id") - 1).alias("cluster"),
+        F.when(dense, F.lit(float("inf"))).otherwise(F.lit(0.0)).alias("total"),
+        F.lit(0.0).alias("children"),
+    )
+    members = [info.filter("cluster is not null").select(F.col("node").alias("id"), "cluster")]
+    nodes = points.select("id", F.col("id").alias("node"))
+    closed = []
+    ranked = cut_lineage(global_rank(tree, [F.col("w"), F.col("u"), F.col("v")]))
+    for start in range(0, max(ranked.count(), 1), slice_size):
+        edges = ranked.filter((F.col("rank") >= start) & (F.col("rank") < start + slice_size))
+        for side in ("u", "v"):
+            ends = nodes.select(F.col("id").alias(side), F.col("node").alias(f"{side}_node"))
+            known = info.select([F.col(name).alias(f"{side}_{name}") for name in info.columns])
+            edges = edges.join(ends, side).join(known, f"{side}_node")
+        # One group of at most slice_size edges.
+        group = edges.drop("u", "v").withColumn("start", F.lit(start))
+        events = cut_lineage(group.groupBy("start").applyInPandas(merger(smallest), EVENT_SCHEMA))
+        fallen = events.filter("kind = 'fall'").select(F.col("id").alias("node"), F.col("ref").alias("cluster"))
+        members.append(nodes.join(fallen, "node").select("id", "cluster"))
+        closed.append(events.filter("kind = 'cluster'").select("id", "ref", "wins"))
+        moved = events.filter("kind = 'node'").select(F.col("id").alias("node"), F.col("ref").alias("root"))
+        nodes = cut_lineage(
+            nodes.join(moved, "node", "left").select("id", F.coalesce("root", "node").alias("node"))
+        )
+        roots = events.filter("kind = 'root'").select(
+            F.col("id").alias("node"), "size", F.col("ref").alias("cluster"), "total", "children"
+        )
+        untouched = info.join(moved, "node", "left_anti")
+        info = cut_lineage(untouched.select(*roots.columns).unionByName(roots))
+    clusters = reduce(DataFrame.unionByName, closed).select(
+        F.col("id").alias("cluster"), F.col("ref").alias("parent"), "wins"
+    )
+    return cut_lineage(reduce(DataFrame.unionByName, members)), cut_lineage(clusters)
+
+
+def selected_clusters(clusters: DataFrame) -> DataFrame:
+    """The topmost winning cluster at or above each closed cluster, where one is.
+
+    Paths to the root double each round. The root itself never closes, so it is
+    never selected.
+    """
+    paths = clusters.select("cluster", F.col("parent").alias("up"), F.when(F.col("wins"), F.col("cluster")).alias("top"))
+    while True:
+        above = paths.select(F.col("cluster").alias("up"), F.col("up").alias("next"), F.col("top").alias("higher"))
+        paths = cut_lineage(
+            paths.join(above, "up", "left").select(
+                "cluster", F.col("next").alias("up"), F.coalesce("higher", "top").alias("top")
+            )
+        )
+        if paths.filter("up is not null").isEmpty():
+            return paths.filter("top is not null").select("cluster", "top")
+
+
+def density_clusters(
+    vectors: DataFrame,
+    min_cluster_size: int = MIN_CLUSTER_SIZE,
+    block_size: int = BLOCK_SIZE,
+    slice_size: int = SLICE_SIZE,
+    plain_pairs: int = PLAIN_PAIRS,
+) -> DataFrame:
+    """``density_cluster`` per trader; traders outside every cluster get -1."""
+    points = blocked_points(vectors, block_size)
+    tree = euclidean_tree(points, plain_pairs)
+    members, clusters = cluster_hierarchy(points, tree, min_cluster_size, slice_size)
+    tops = selected_clusters(clusters)
+    numbers = global_rank(tops.select("top").distinct(), [F.col("top")], "density_cluster")
+    labels = (
+        members.join(tops, "cluster").join(numbers, "top").select("id", F.col("density_cluster").cast("int"))
+    )
+    labelled = cut_lineage(points.select("id", "features").join(labels, "id", "left"))
+    keyed = vectors.select("trader", vector_to_array("features").alias("features"))
+    return keyed.join(labelled, "features").select(
+        "trader", F.coalesce("density_cluster", F.lit(NOISE)).alias("density_cluster")
+    )

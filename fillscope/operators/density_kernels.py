@@ -1,0 +1,123 @@
+"""The two bounded steps of density clustering that run inside a task.
+
+Both see a limited number of rows: the points of two blocks, or one slice of tree
+edges. The module travels to the executors with the job.
+"""
+
+from __future__ import annotations
+
+import sys
+
+import numpy as np
+import pandas as pd
+from pyspark import cloudpickle
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+TREE_SCHEMA = "u long, v long, w double"
+EVENT_SCHEMA = "kind string, id long, ref long, size long, total double, children double, wins boolean"
+
+
+def spanning_tree(points: pd.DataFrame) -> pd.DataFrame:
+    """The minimum spanning tree of the given points, grown from the first one.
+
+    Distances are computed one row at a time, so memory stays linear.
+    """
+    ids = points["id"].to_numpy()
+    place = np.array(points["features"].tolist(), dtype=float)
+    count = len(ids)
+    nearest = np.full(count, np.inf)
+    link = np.zeros(count, dtype=int)
+    outside = np.ones(count, dtype=bool)
+    edges = []
+    last = 0
+    for _ in range(count - 1):
+        outside[last] = False
+        gap = np.sqrt(((place - place[last]) ** 2).sum(axis=1))
+        closer = outside & (gap < nearest)
+        nearest[closer] = gap[closer]
+        link[closer] = last
+        last = int(np.argmin(np.where(outside, nearest, np.inf)))
+        ends = sorted((int(ids[link[last]]), int(ids[last])))
+        edges.append((*ends, float(nearest[last])))
+    return pd.DataFrame(edges, columns=["u", "v", "w"]).astype({"u": "int64", "v": "int64", "w": "float64"})
+
+
+def merge_slice(edges: pd.DataFrame, smallest: int) -> pd.DataFrame:
+    """Join the components of one slice of tree edges, shortest edge first.
+
+    A component below ``smallest`` is only a list of nodes. It becomes a cluster when
+    it reaches that size, or falls to a cluster it touches. Two clusters that touch
+    close, and a parent cluster opens; a closed cluster wins if it is at least as
+    stable as the best choice among its descendants.
+    """
+    edges = edges.sort_values("rank")
+    root: dict[int, int] = {}
+    state: dict[int, list] = {}  # size, cluster, total of densities, children's score
+    waiting: dict[int, list[int]] = {}
+    for side in ("u", "v"):
+        columns = [f"{side}_{name}" for name in ("node", "size", "cluster", "total", "children")]
+        for node, size, cluster, total, children in edges[columns].itertuples(index=False):
+            if node not in root:
+                root[node] = node
+                known = None if pd.isna(cluster) else int(cluster)
+                state[node] = [int(size), known, total, children]
+                waiting[node] = [node] if known is None else []
+
+    def find(node: int) -> int:
+        while root[node] != node:
+            root[node] = root[root[node]]
+            node = root[node]
+        return node
+
+    events: list[tuple] = []
+    for rank, weight, left, right in edges[["rank", "w", "u_node", "v_node"]].itertuples(index=False):
+        a, b = find(left), find(right)
+        density = 1.0 / weight if weight > 0 else float("inf")
+        (size_a, cluster_a, total_a, best_a), (size_b, cluster_b, total_b, best_b) = state[a], state[b]
+        size = size_a + size_b
+        if cluster_a is not None and cluster_b is not None:
+            score = 0.0
+            for members, cluster, total, best in (
+                (size_a, cluster_a, total_a, best_a),
+                (size_b, cluster_b, total_b, best_b),
+            ):
+                stability = total - members * density
+                wins = stability >= best
+                score += stability if wins else best
+                events.append(("cluster", cluster, rank, members, stability, best, wins))
+            merged = [size, int(rank), size * density, score]
+        elif cluster_a is not None:
+            merged = [size, cluster_a, total_a + size_b * density, best_a]
+        elif cluster_b is not None:
+            merged = [size, cluster_b, total_b + size_a * density, best_b]
+        elif size >= smallest:
+            merged = [size, int(rank), size * density, 0.0]
+        else:
+            merged = [size, None, 0.0, 0.0]
+        nodes = waiting.pop(a) + waiting.pop(b)
+        if merged[1] is not None:
+            events += [("fall", node, merged[1], None, None, None, None) for node in nodes]
+            nodes = []
+        root[b] = a
+        state[a], waiting[a] = merged, nodes
+        del state[b]
+    events += [("node", node, find(node), None, None, None, None) for node in root]
+    events += [("root", node, *_row(values)) for node, values in state.items()]
+    columns = ["kind", "id", "ref", "size", "total", "children", "wins"]
+    frame = pd.DataFrame(events, columns=columns)
+    return frame.astype(
+        {"id": "int64", "ref": "Int64", "size": "Int64", "total": "float64", "children": "float64", "wins": "boolean"}
+    )
+
+
+def merger(smallest: int):
+    def merge(edges: pd.DataFrame) -> pd.DataFrame:
+        return merge_slice(edges, smallest)
+
+    return merge
+
+
+def _row(values: list) -> tuple:
+    size, cluster, total, children = values
+    return cluster, size, total, children, None

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from fillscope import schemas
 from fillscope.functions.numeric import half_even, hash_bucket
-from fillscope.operators import categories, clusters, features, markets, points, positions, stats, subset
+from fillscope.operators import categories, clusters, density, features, markets, points, positions, stats, subset
 from fillscope.scale import cut_lineage, shared_folder
 from fillscope.sources import catalog, readers, sinks
 from fillscope.sources.sample_tables import SampleTables, derive_trades
@@ -298,6 +298,12 @@ def kmeans_clusters(t: SampleTables) -> DataFrame:
     return clusters.kmeans_clusters(cut_lineage(vectors))
 
 
+@query
+def density_clusters(t: SampleTables) -> DataFrame:
+    vectors = features.feature_vectors(features.scaled_features(cut_lineage(_updated(t))))
+    return density.density_clusters(cut_lineage(vectors))
+
+
 @query
 def feature_projection(t: SampleTables) -> DataFrame:
     vectors = features.feature_vectors(features.scaled_features(cut_lineage(_updated(t))))

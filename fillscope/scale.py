@@ -15,6 +15,7 @@ import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -52,9 +53,16 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write ``df`` to reliable storage and continue from the stored rows."""
-    checkpoint_root(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write ``df`` to the shared folder and continue from the stored rows.
+
+    Unlike a checkpoint, the stored table is columnar, so later passes read only
+    the columns they need, and the optimizer carries no predicates of the cut plan
+    along.
+    """
+    spark = df.sparkSession
+    path = shared_folder(spark, "stage")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def estimated_bytes(df: DataFrame) -> int | None:
@@ -133,3 +141,24 @@ def spread_by_order(
     return cut_lineage(
         df.repartitionByRange(width, *order).withColumn(name, F.spark_partition_id())
     )
+
+
+def global_rank(df: DataFrame, order: Sequence, name: str = "rank") -> DataFrame:
+    """Number all rows from zero in the given order, without one sorted task.
+
+    The window over the slice sizes holds one row per slice.
+    """
+    sliced = spread_by_order(df, order, name="_slice")
+    earlier = W.partitionBy().orderBy("_slice").rowsBetween(W.unboundedPreceding, -1)
+    starts = (
+        sliced.groupBy("_slice")
+        .agg(F.count(F.lit(1)).alias("_n"))
+        .select("_slice", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_start"))
+    )
+    inside = F.row_number().over(W.partitionBy("_slice").orderBy(*order)) - 1
+    return (
+        sliced.withColumn("_inside", inside)
+        .join(starts, "_slice")
+        .withColumn(name, F.col("_start") + F.col("_inside"))
+        .drop("_slice", "_inside", "_start")
+    )

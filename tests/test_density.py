@@ -1,0 +1,149 @@
+"""Density clusters against a direct top-down computation on small inputs."""
+
+from __future__ import annotations
+
+import numpy as np
+import pytest
+from pyspark.ml.linalg import Vectors
+
+from fillscope.operators import density
+
+
+def all_pairs_tree(x):
+    """Kruskal over every pair of points."""
+    n = len(x)
+    pairs = sorted(
+        (float(np.sqrt(((x[i] - x[j]) ** 2).sum())), i, j) for i in range(n) for j in range(i + 1, n)
+    )
+    root = list(range(n))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    tree = []
+    for w, i, j in pairs:
+        a, b = find(i), find(j)
+        if a != b:
+            root[a] = b
+            tree.append((w, i, j))
+    return tree
+
+
+def split(nodes, edges):
+    """Remove the longest edge; the two node sets and their edges."""
+    longest, rest = edges[-1], edges[:-1]
+    near = {i: set() for i in nodes}
+    for _, i, j in rest:
+        near[i].add(j)
+        near[j].add(i)
+    seen, todo = {longest[1]}, [longest[1]]
+    while todo:
+        for k in near[todo.pop()] - seen:
+            seen.add(k)
+            todo.append(k)
+    other = set(nodes) - seen
+    return longest[0], [(part, [e for e in rest if e[1] in part]) for part in (seen, other)]
+
+
+def direct(x, smallest):
+    """Labels from the definition: split from the top, keep clusters by stability."""
+    tree = all_pairs_tree(x)
+    labels = np.full(len(x), -1)
+    counter = iter(range(10**6))
+
+    def inverse(w):
+        return 1 / w if w > 0 else float("inf")
+
+    def walk(nodes, edges, birth):
+        """Score of the best choice at or below, and a function that labels it."""
+        total, members, part, rest = 0.0, set(nodes), set(nodes), edges
+        while True:
+            if not rest:
+                total += len(part) * float("inf")
+                children = []
+                break
+            w, halves = split(part, rest)
+            big = [half for half in halves if len(half[0]) >= smallest]
+            if len(big) == 2:
+                total += len(part) * inverse(w)
+                children = [walk(*half, inverse(w)) for half in halves]
+                break
+            if not big:
+                total += len(part) * inverse(w)
+                children = []
+                break
+            total += (len(part) - len(big[0][0])) * inverse(w)
+            part, rest = big[0]
+        stability = total - len(members) * birth
+        below = sum(score for score, _ in children)
+
+        def mark_children():
+            for _, mark in children:
+                mark()
+
+        def mark_own():
+            labels[list(members)] = next(counter)
+
+        if birth == 0 or below > stability:
+            return below, mark_children
+        return stability, mark_own
+
+    if len(x) >= smallest:
+        walk(set(range(len(x))), tree, 0)[1]()
+    return labels
+
+
+def blobs(seed, copies=0):
+    draw = np.random.default_rng(seed)
+    centers = draw.normal(size=(4, 3)) * 4
+    parts = [draw.normal(c, s, size=(n, 3)) for c, s, n in zip(centers, (0.3, 0.5, 0.2, 1.0), (40, 60, 25, 50))]
+    x = np.vstack([*parts, draw.uniform(-8, 8, size=(25, 3))])
+    return np.vstack([x, np.repeat(x[:1], copies, axis=0)]) if copies else x
+
+
+def frame(spark, x):
+    return spark.createDataFrame(
+        [(f"t{i:04d}", Vectors.dense(row)) for i, row in enumerate(x)], ["trader", "features"]
+    )
+
+
+def partition(labels):
+    groups = {}
+    for i, label in enumerate(labels):
+        groups.setdefault(label, set()).add(i)
+    noise = groups.pop(-1, set())
+    return noise, sorted(map(sorted, groups.values()))
+
+
+@pytest.mark.parametrize(
+    "seed, copies, settings",
+    [
+        (1, 0, {}),
+        (2, 0, {"block_size": 60, "slice_size": 70}),
+        (3, 12, {"block_size": 30, "plain_pairs": 0}),
+    ],
+)
+def test_labels_equal_the_definition(spark, seed, copies, settings):
+    x = blobs(seed, copies)
+    found = density.density_clusters(frame(spark, x), min_cluster_size=10, **settings).collect()
+    labels = [r.density_cluster for r in sorted(found, key=lambda r: r.trader)]
+    assert len(labels) == len(x)
+    assert partition(labels) == partition(direct(x, 10))
+    kept = sorted({label for label in labels if label >= 0})
+    assert kept == list(range(len(kept))) and len(kept) >= 2
+
+
+def test_tree_weight_equals_all_pairs(spark):
+    x = blobs(5)
+    for settings in ({"plain_pairs": 1000}, {"plain_pairs": 0}):
+        points = density.blocked_points(frame(spark, x), 40)
+        tree = density.euclidean_tree(points, **settings)
+        weights = sorted(r.w for r in tree.collect())
+        assert weights == pytest.approx([w for w, _, _ in all_pairs_tree(x)])
+
+
+def test_too_few_points_are_noise(spark):
+    found = density.density_clusters(frame(spark, blobs(1)[:5]), min_cluster_size=10).collect()
+    assert [r.density_cluster for r in found] == [-1] * 5
