@@ -37,7 +37,6 @@ HEADLINE = (
     "two_sided_positions",
     "winrate_proxy",
     "trader_features",
-    "kmeans_clusters",
     "cluster_report",
     "cluster_legend",
     "viz_points",

@@ -20,6 +20,5 @@ def block_epoch(text: Column) -> Column:
 
 def utc_time(epoch: Column) -> Column:
     """The UTC wall-clock time as a timestamp without zone."""
-    return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(
-        F.lit(0), F.lit(0), F.lit(0), epoch.cast("decimal(18,6)")
-    )
+    start = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    return start + F.expr("INTERVAL '1' SECOND") * epoch

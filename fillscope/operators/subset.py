@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fillscope.functions.numeric import hash_bucket
-from fillscope.scale import lookup_join
+from fillscope.scale import cut_lineage, lookup_join
 
 MIN_TRADES = 100
 SAMPLE_RATE = 100
@@ -63,12 +63,13 @@ def sample_trades(
     """All trades of the sampled traders.
 
     Rows with neither party in the hash sample cannot qualify; dropping them first
-    leaves about ``2 / rate`` of the trades for the joins.
+    leaves about ``2 / rate`` of the trades for the joins. The sampled addresses are
+    stored once, so that both joins know their true size.
     """
     candidates = trades.filter(
         in_sample(F.col("maker"), rate) | in_sample(F.col("taker"), rate)
     )
-    return trades_of(candidates, sample_traders(trades, rate, min_trades))
+    return trades_of(candidates, cut_lineage(sample_traders(trades, rate, min_trades)))
 
 
 def trades_by_maker(trades: DataFrame, more_than: int = 100) -> DataFrame:

@@ -166,7 +166,7 @@ def positions_(t: SampleTables) -> DataFrame:
 @query
 def sampled_positions(t: SampleTables) -> DataFrame:
     """Positions of the sampled traders only."""
-    sampled = subset.sample_traders(t.trades, RATE, MIN_TRADES)
+    sampled = cut_lineage(subset.sample_traders(t.trades, RATE, MIN_TRADES))
     found = positions.positions(t.trades, t.blocks, t.markets, traders=sampled)
     return found.select("trader", "token", "block_number", "bought_contract", "won", "profit")
 

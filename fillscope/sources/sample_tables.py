@@ -100,8 +100,8 @@ def derive_trades(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
 def derive_blocks(trades: DataFrame) -> DataFrame:
     # The time comes from an aggregate value, not from the grouping key: a filter on
     # it then stays above the aggregate instead of running on every trade.
-    time = utc_time(F.lit(EPOCH_1995) + 2 * F.col("height"))
-    text = F.concat(F.translate(time.cast("string"), " ", "T"), F.lit("Z"))
+    time = utc_time(F.lit(EPOCH_1995) + 2 * F.col("height")).cast("string")
+    text = F.concat(F.substring(time, 1, 10), F.lit("T"), F.substring(time, 12, 8), F.lit("Z"))
     return (
         trades.filter(F.col("block_number") % 997 != 0)
         .groupBy("block_number")
