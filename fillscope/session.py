@@ -35,6 +35,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, memory: s
         .appName("fillscope")
         .config("spark.driver.memory", memory)
         .config("spark.ui.enabled", "false")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     )
     for key, value in TUNING.items():
