@@ -134,13 +134,14 @@ def spread_by_order(
     """Range-partition by ``order`` and number the slices ascending.
 
     The cut points are sampled, so the numbered rows are stored before use:
-    a recomputed partition would otherwise see other cut points.
+    a recomputed partition would otherwise see other cut points. A running number
+    breaks ties, so that many equal rows spread over several slices too.
     """
     spark = df.sparkSession
     width = partitions or int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-    return cut_lineage(
-        df.repartitionByRange(width, *order).withColumn(name, F.spark_partition_id())
-    )
+    numbered = df.withColumn("_tie", F.monotonically_increasing_id())
+    ranged = numbered.repartitionByRange(width, *order, F.col("_tie")).drop("_tie")
+    return cut_lineage(ranged.withColumn(name, F.spark_partition_id()))
 
 
 def global_rank(df: DataFrame, order: Sequence, name: str = "rank") -> DataFrame:

@@ -73,6 +73,14 @@ def test_running_profit_of_one_dominant_user(spark):
     assert sorted(actual) == sorted(expected)
 
 
+def test_equal_rows_spread_over_slices(spark):
+    same = spark.range(4000).select(F.lit(1).alias("k"))
+    sliced = scale.spread_by_order(same, [F.col("k")], partitions=4)
+    assert sliced.groupBy("slice").count().agg(F.max("count")).first()[0] < 2500
+    ranks = scale.global_rank(same, [F.col("k")]).agg(F.min("rank"), F.max("rank"), F.countDistinct("rank"))
+    assert tuple(ranks.first()) == (0, 3999, 4000)
+
+
 @pytest.mark.parametrize("sizes", [(1, 2, 3), (1000, 1001, 64)])
 def test_exact_medians(spark, sizes):
     draw = random.Random(3)
