@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, licenses, lines, sentencepiece
+from . import decontaminate, jaccard, licenses, lines, sentencepiece
 
 MODEL = "piece_bpe_32k.model"
 
@@ -45,6 +45,10 @@ def op3_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op4_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard.near_duplicates(table(spark, folder, "documents"))
+
+
 def op5_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     found = decontaminate.search(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
     length = F.aggregate("found.spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["begin"])
@@ -63,5 +67,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_license_scan": op1_license_scan,
     "op2_sentencepiece": op2_sentencepiece,
     "op3_line_dedup": op3_line_dedup,
+    "op4_jaccard_join": op4_jaccard_join,
     "op5_decontaminate": op5_decontaminate,
 }
