@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, jaccard, licenses, lines, sentencepiece
+from . import decontaminate, jaccard, licenses, lines, sentencepiece, sharding, topk
 
 MODEL = "piece_bpe_32k.model"
 
@@ -63,10 +63,21 @@ def op5_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op9_exact_top_k(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = topk.integer_vectors(table(spark, folder, "embeddings"))
+    return topk.top_k(vectors, vectors.where("id % 20 = 0"))
+
+
+def op10_sharding(spark: SparkSession, folder: str) -> DataFrame:
+    return sharding.assign_shards(table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_license_scan": op1_license_scan,
     "op2_sentencepiece": op2_sentencepiece,
     "op3_line_dedup": op3_line_dedup,
     "op4_jaccard_join": op4_jaccard_join,
     "op5_decontaminate": op5_decontaminate,
+    "op9_exact_top_k": op9_exact_top_k,
+    "op10_sharding": op10_sharding,
 }
