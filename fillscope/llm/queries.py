@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, jaccard, licenses, lines, sentencepiece, sharding, topk
+from . import decontaminate, jaccard, language, licenses, lines, sentencepiece, sharding, topk, toxicity
 
 MODEL = "piece_bpe_32k.model"
 
@@ -63,6 +63,31 @@ def op5_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op6_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    fold = lambda c: F.crc32(c.cast("string")) % 3
+    model = toxicity.fit(docs, table(spark, folder, "labels"), fold(F.col("doc_id")) != 1)
+    return toxicity.score(docs, model).select(
+        "doc_id",
+        (fold(F.col("doc_id")) == 1).alias("held_out"),
+        F.col("toxicity").alias("score"),
+        (F.col("toxicity") >= toxicity.REJECT).cast("int").alias("predicted"),
+    )
+
+
+def op7_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 4 == 2
+    model = language.fit(docs, F.coalesce(~held_out, F.lit(False)))
+    return language.predict(docs, model).select(
+        "doc_id",
+        held_out.alias("held_out"),
+        F.col("language.lang").alias("lang_pred"),
+        F.col("language.score").alias("score"),
+        F.col("language.rejected").alias("rejected"),
+    )
+
+
 def op9_exact_top_k(spark: SparkSession, folder: str) -> DataFrame:
     vectors = topk.integer_vectors(table(spark, folder, "embeddings"))
     return topk.top_k(vectors, vectors.where("id % 20 = 0"))
@@ -78,6 +103,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_line_dedup": op3_line_dedup,
     "op4_jaccard_join": op4_jaccard_join,
     "op5_decontaminate": op5_decontaminate,
+    "op6_toxicity": op6_toxicity,
+    "op7_language_id": op7_language_id,
     "op9_exact_top_k": op9_exact_top_k,
     "op10_sharding": op10_sharding,
 }

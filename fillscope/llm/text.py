@@ -10,7 +10,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -80,16 +80,14 @@ def _power(kind: str, n: int) -> np.ndarray:
     return _powers[kind][:n]
 
 
-def hash_words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all words of many texts, and where each text's words begin.
+def word_places(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Begin and end of each word of many texts, and where each text's words begin.
 
     ``data`` holds the translated bytes (words and spaces) of the texts one after
-    another, ``offsets`` (n + 1 entries) where they begin. Returns the 64-bit hash of every word
-    and n + 1 offsets into them. The hash depends on the bytes of the word only: it is
-    the difference of two prefix sums of a polynomial, moved to the word's beginning.
+    another, ``offsets`` (n + 1 entries) where they begin; the last result has n + 1 entries, too.
     """
     if not len(data):
-        return np.zeros(0, np.uint64), np.zeros(len(offsets), np.int64)
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(len(offsets), np.int64)
     inside = data != 0x20
     first = inside.copy()
     first[1:] &= ~inside[:-1]
@@ -97,11 +95,24 @@ def hash_words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
     first[edges] = inside[edges]
     last = inside.copy()
     last[:-1] &= ~inside[1:] | first[1:]
-    begin, end = np.flatnonzero(first), np.flatnonzero(last)
+    begin, end = np.flatnonzero(first), np.flatnonzero(last) + 1
+    return begin, end, np.searchsorted(begin, offsets)
+
+
+def word_hashes(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """64-bit hashes of words, which depend on their bytes only.
+
+    Each is the difference of two prefix sums of a polynomial, moved to the word's beginning.
+    """
     sums = np.zeros(len(data) + 1, np.uint64)
     np.cumsum(_CODES[data] * _power("up", len(data)), out=sums[1:])
-    hashes = _mix((sums[end + 1] - sums[begin]) * _power("down", len(data))[begin])
-    return hashes, np.searchsorted(begin, offsets)
+    return _mix((sums[end] - sums[begin]) * _power("down", len(data))[begin])
+
+
+def hash_words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all words of translated texts, and offsets of each text's words."""
+    begin, end, places = word_places(data, offsets)
+    return (word_hashes(data, begin, end) if len(begin) else np.zeros(0, np.uint64)), places
 
 
 def text_slices(
@@ -131,3 +142,36 @@ def text_slices(
 def hashed_words(data: np.ndarray, offsets: np.ndarray, table: bytes = ALNUM):
     """``hash_words`` of raw text bytes."""
     return hash_words(np.frombuffer(table, np.uint8)[data], offsets)
+
+
+# Bits of a filter made from keys: fixed, whatever the number of keys.
+FILTER_BITS = 24
+
+
+def may_hold(keys: DataFrame, column: str, probe: Column) -> Column:
+    """A condition that is true where ``probe`` is among the keys, and seldom elsewhere.
+
+    It spares rows without a partner their way through a shuffle; the join that follows
+    decides. The filter's size is fixed; with very many keys it lets all rows pass.
+    """
+
+    def slot(c: Column) -> Column:
+        return F.pmod(F.xxhash64(c), F.lit(1 << FILTER_BITS))
+
+    bits = (
+        keys.select(slot(F.col(column)).alias("slot"))
+        .groupBy(F.floor(F.col("slot") / 64).alias("word"))
+        .agg(F.bit_or(F.expr("shiftleft(1L, cast(slot % 64 as int))")).alias("bits"))
+        .toArrow()
+    )
+    table = np.zeros(1 << (FILTER_BITS - 6), np.int64)
+    table[bits.column("word").to_numpy()] = bits.column("bits").to_numpy()
+    shared = keys.sparkSession.sparkContext.broadcast(table)
+
+    @F.arrow_udf("boolean")
+    def holds(slots: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for array in slots:
+            where = array.to_numpy(zero_copy_only=False)
+            yield pa.array((shared.value[where >> 6] >> (where & 63)) & 1 == 1)
+
+    return holds(slot(probe))
