@@ -1,6 +1,75 @@
-"""The corpus pipeline: stages over documents, each one operator."""
+"""The corpus pipeline: five stages over documents, each one operator.
+
+A stage gets the documents its predecessor kept and returns documents with the same columns;
+only the last returns tokens. Stages are written as Parquet and read again in between.
+No stage can be expressed in SQL as a whole, so the tests compare with brute force.
+"""
 
 from __future__ import annotations
 
-STAGES = []
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from fillscope.llm import decontaminate, jaccard, lines, sentencepiece, toxicity
+from fillscope.scale import cut_lineage
+
+MODEL = "piece_bpe_32k.model"
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose toxicity is below the limit. Labels of held-out documents teach nothing."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    model = toxicity.fit(docs, labels, F.crc32(labels["doc_id"].cast("string")) % 3 != 1)
+    return toxicity.score(docs, model, name="_toxicity").where(F.col("_toxicity") < toxicity.REJECT).select(docs.columns)
+
+
+def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the lines they share with many; a document that loses all stays, empty."""
+    found = lines.dedup_lines(docs)
+    text = {"text": F.when(F.col("n_dropped") > 0, F.col("kept_text")).otherwise(F.col("text"))}
+    count = {"n_chars": F.char_length("text").cast(docs.schema["n_chars"].dataType)} if "n_chars" in docs.columns else {}
+    return found.withColumns(text).withColumns(count).select(docs.columns)
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the smallest id of each group; documents without words all stay.
+
+    Rows without an id stay unless they belong to a group with ids.
+    """
+    classes = jaccard.near_duplicates(docs)
+    gone = classes.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_gone")).distinct()
+    return docs.join(gone, docs["doc_id"].eqNullSafe(F.col("_gone")), "left_anti").select(docs.columns)
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no window of a benchmark item."""
+    found = decontaminate.search(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), name="_found")
+    return found.where(F.size("_found.spans") == 0).select(docs.columns)
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Tokens of each document: doc_id, n_tokens, ids, and the text they decode to."""
+    found = sentencepiece.encode_documents(docs, public_tokenizers.path(MODEL))
+    return found.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", "decoded")
+
+
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("line dedup", drop_lines),
+    ("n-gram Jaccard join", drop_near_duplicates),
+    ("benchmark decontamination", drop_contaminated),
+    ("SentencePiece encoding and decoding", encode),
+]
+
 ORACLE_SQL = None
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over the documents of a folder."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for number, (_, stage) in enumerate(STAGES, 1):
+        docs = stage(spark, docs, sf_dir)
+        if number < len(STAGES):
+            docs = cut_lineage(docs)
+    return docs

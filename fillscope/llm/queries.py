@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, jaccard, language, licenses, lines, sentencepiece, sharding, topk, toxicity
+from . import decontaminate, jaccard, language, licenses, lines, quality, sentencepiece, sharding, topk, toxicity
 
 MODEL = "piece_bpe_32k.model"
 
@@ -88,6 +88,16 @@ def op7_language_id(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op8_quality(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return quality.score(docs, quality.fit(docs)).select(
+        "doc_id",
+        F.col("quality.score").alias("score"),
+        F.col("quality.weak_label").alias("weak_label"),
+        (F.col("quality.score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
 def op9_exact_top_k(spark: SparkSession, folder: str) -> DataFrame:
     vectors = topk.integer_vectors(table(spark, folder, "embeddings"))
     return topk.top_k(vectors, vectors.where("id % 20 = 0"))
@@ -105,6 +115,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_decontaminate": op5_decontaminate,
     "op6_toxicity": op6_toxicity,
     "op7_language_id": op7_language_id,
+    "op8_quality": op8_quality,
     "op9_exact_top_k": op9_exact_top_k,
     "op10_sharding": op10_sharding,
 }
