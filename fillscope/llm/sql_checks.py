@@ -2,4 +2,141 @@
 
 from __future__ import annotations
 
-SQL: dict[str, str] = {}
+from . import decontaminate, jaccard, licenses, lines, sharding, topk
+from .text import LOWER, UPPER
+
+_ALNUM = r"[0-9a-z\x{80}-\x{10FFFF}]+"
+
+
+def _lower(column: str) -> str:
+    return f"translate(coalesce({column}, ''), '{UPPER}', '{LOWER}')"
+
+
+def _words(column: str) -> str:
+    return f"regexp_extract_all({_lower(column)}, '{_ALNUM}')"
+
+
+def _license_scan() -> str:
+    templates = ", ".join(f"({i}, '{t.label}', string_split('{t.words}', ' '), {t.gap}, {t.cover}::DOUBLE)" for i, t in enumerate(licenses.TEMPLATES))
+    base = ", ".join(f"'{t.label}'" for t in licenses.BASE)
+    return f"""
+    WITH docs AS (SELECT row_number() OVER () AS r, doc_id, {_words("text")} AS w FROM documents),
+    templates(t, label, words, gap, cover) AS (VALUES {templates}),
+    wanted AS (
+        SELECT t, label, gap, cover, len(words) - 1 AS grams, i AS t_pos, words[i + 1] AS w1, words[i + 2] AS w2
+        FROM (SELECT *, unnest(range(len(words) - 1)) AS i FROM templates)),
+    pairs AS (SELECT r, pos, w[pos + 1] AS w1, w[pos + 2] AS w2 FROM (SELECT r, w, unnest(range(len(w) - 1)) AS pos FROM docs)),
+    diagonals AS (
+        SELECT r, t, label, gap, cover, grams, pos - t_pos AS d, count(*) AS votes, min(pos) AS first, max(pos) + 1 AS last
+        FROM pairs JOIN wanted USING (w1, w2) GROUP BY ALL),
+    marked AS (SELECT *, CASE WHEN d - lag(d) OVER (PARTITION BY r, t ORDER BY d) <= gap THEN 0 ELSE 1 END AS fresh FROM diagonals),
+    grouped AS (SELECT *, sum(fresh) OVER (PARTITION BY r, t ORDER BY d) AS g FROM marked),
+    spans AS (
+        SELECT r, label, cover, grams, least(1.0::DOUBLE, sum(votes)::DOUBLE / grams) AS coverage, min(first) AS first, max(last) AS last
+        FROM grouped GROUP BY r, t, label, cover, grams, g),
+    good AS (SELECT *, label IN ({base}) AS is_base FROM spans WHERE coverage >= cover AND last - first <= grams * 1.5),
+    found AS (
+        SELECT r, count(*) FILTER (is_base) AS n_base, min(first) FILTER (is_base) AS first_word, max(first) FILTER (is_base) AS last_word,
+            array_to_string(list_sort(list_distinct(coalesce(list(label) FILTER (is_base), []))), ',') AS base_labels,
+            array_to_string(list_sort(list_distinct(list(label))), ',') AS labels, max(coverage) AS score
+        FROM good GROUP BY r)
+    SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_base, 0)::BIGINT AS n_base, first_word::BIGINT AS first_word,
+        last_word::BIGINT AS last_word, coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels,
+        coalesce(score, 0.0)::DOUBLE AS score
+    FROM docs LEFT JOIN found USING (r)"""
+
+
+def _line_dedup() -> str:
+    white = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+    return f"""
+    WITH docs AS (SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
+    each AS (SELECT r, doc_id, unnest(ls) AS line, unnest(range(len(ls))) AS pos FROM docs),
+    keyed AS (SELECT *, {_lower(f"trim(line, {white})")} AS k FROM each),
+    common AS (
+        SELECT k, max(doc_id) AS last FROM keyed WHERE length(k) >= {lines.MIN_CHARS}
+        GROUP BY k HAVING count(DISTINCT doc_id) >= {lines.MIN_DOCS}),
+    decided AS (SELECT r, doc_id, pos, line, last IS NULL OR doc_id = last AS kept FROM keyed LEFT JOIN common USING (k))
+    SELECT doc_id, count(*)::BIGINT AS n_lines, count(*) FILTER (NOT kept)::BIGINT AS n_dropped,
+        sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (kept), '')) AS kept_sha256
+    FROM decided GROUP BY r, doc_id"""
+
+
+def _jaccard_join() -> str:
+    n, percent = jaccard.WORDS, jaccard.PERCENT
+    return rf"""
+    WITH RECURSIVE docs AS (
+        SELECT doc_id, regexp_extract_all({_lower("text")}, '[^\x20\x09-\x0D]+') AS w FROM documents),
+    shingles AS (
+        SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < {n} THEN [array_to_string(w, ' ')]
+            ELSE list_transform(range(1, len(w) - {n - 2}), lambda i: array_to_string(w[i:i + {n - 1}], ' ')) END) AS s FROM docs),
+    sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY 1),
+    shared AS (
+        SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS m FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+    links AS (
+        SELECT a, b FROM shared JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+        WHERE 100 * m >= {percent} * (x.n + y.n - m)),
+    reach(a, b) AS (SELECT doc_id, doc_id FROM docs UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a),
+    smallest AS (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY 1)
+    SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id FROM docs LEFT JOIN sizes USING (doc_id) JOIN smallest USING (doc_id)"""
+
+
+def _decontaminate() -> str:
+    size = decontaminate.WINDOW
+    return f"""
+    WITH docs AS (SELECT row_number() OVER () AS r, doc_id, {_words("text")} AS w FROM documents),
+    items AS (SELECT item_id, {_words("text")} AS w, least({size}, len(w)) AS n FROM benchmark),
+    windows AS (
+        SELECT DISTINCT item_id, n, w[i:i + n - 1] AS x FROM (SELECT *, unnest(range(1, len(w) - n + 2)) AS i FROM items WHERE n > 0)),
+    lengths AS (SELECT DISTINCT n FROM windows),
+    places AS (
+        SELECT r, n, i, w[i:i + n - 1] AS x
+        FROM (SELECT r, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM docs, lengths WHERE len(w) >= n)),
+    hits AS (SELECT r, n, i, item_id FROM places JOIN windows USING (n, x)),
+    words AS (SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT r, unnest(range(i, i + n)) AS p FROM hits) GROUP BY r),
+    found AS (
+        SELECT r, count(DISTINCT item_id) AS n_items, array_to_string(list_sort(list_distinct(list(item_id::VARCHAR))), ',') AS ids
+        FROM hits GROUP BY r)
+    SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+        sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+    FROM docs LEFT JOIN words USING (r) LEFT JOIN found USING (r)"""
+
+
+def _top_k() -> str:
+    return f"""
+    WITH vectors AS (
+        SELECT vec_id, list_transform(embedding, lambda x: floor({topk.SCALE} * x::DOUBLE)) AS v FROM embeddings
+        WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+            AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    scored AS (
+        SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v)::BIGINT AS score
+        FROM vectors q JOIN vectors c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id),
+    ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored)
+    SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM ranked WHERE rank <= {topk.K}"""
+
+
+def _sharding() -> str:
+    bits, limit = sharding.HASH_BITS, sharding.SHARD_BYTES
+    return f"""
+    WITH docs AS (
+        SELECT row_number() OVER () AS r, doc_id, strlen(coalesce(text, ''))::BIGINT AS n_bytes,
+            ('0x' || substr(md5(concat_ws('|', coalesce(doc_id::VARCHAR, ''), md5(coalesce(text, '')))), 1, 15))::BIGINT AS h
+        FROM documents),
+    levels AS (SELECT *, unnest(range(0, {bits + 1})) AS depth FROM docs),
+    buckets AS (
+        SELECT depth, h >> ({bits} - depth) AS prefix, sum(n_bytes)::BIGINT AS bytes, min(h) = max(h) AS one FROM levels GROUP BY ALL),
+    chosen AS (
+        SELECT r, min(l.depth) AS depth FROM levels l JOIN buckets b ON b.depth = l.depth AND b.prefix = l.h >> ({bits} - l.depth)
+        WHERE bytes <= {limit} OR one GROUP BY r)
+    SELECT doc_id, n_bytes, lpad(bin(h), {bits}, '0')[1:depth] AS shard, depth::BIGINT AS shard_depth,
+        bytes AS shard_bytes, bytes <= {limit} AS fits
+    FROM docs JOIN chosen USING (r) JOIN buckets b USING (depth) WHERE b.prefix = h >> ({bits} - depth)"""
+
+
+SQL: dict[str, str] = {
+    "op1_license_scan": _license_scan(),
+    "op3_line_dedup": _line_dedup(),
+    "op4_jaccard_join": _jaccard_join(),
+    "op5_decontaminate": _decontaminate(),
+    "op9_exact_top_k": _top_k(),
+    "op10_sharding": _sharding(),
+}
