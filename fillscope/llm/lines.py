@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from fillscope.scale import cut_lineage
+
 from .text import ascii_lower
 
 MIN_CHARS, MIN_DOCS = 40, 5
@@ -59,7 +61,8 @@ def dropped_lines(
         .select("doc", "text_id", "pos", F.xxhash64("line").alias("a"), F.xxhash64(F.lit(1), "line").alias("b"))
     )
     ranged = lines.repartitionByRange("a", "b", "doc").sortWithinPartitions("a", "b", "doc", "text_id", "pos")
-    places = ranged.groupBy("a", "b", "doc").agg(F.collect_set(F.struct("text_id", "pos")).alias("places"))
+    # Stored, as it is read twice: once to find common lines, once to drop them.
+    places = cut_lineage(ranged.groupBy("a", "b", "doc").agg(F.collect_set(F.struct("text_id", "pos")).alias("places")))
     common = (
         places.groupBy("a", "b")
         .agg(F.count(F.lit(1)).alias("n"), F.max("doc").alias("last"))
