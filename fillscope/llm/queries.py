@@ -108,14 +108,17 @@ def op10_sharding(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "op1_license_scan": op1_license_scan,
-    "op2_sentencepiece": op2_sentencepiece,
-    "op3_line_dedup": op3_line_dedup,
-    "op4_jaccard_join": op4_jaccard_join,
-    "op5_decontaminate": op5_decontaminate,
-    "op6_toxicity": op6_toxicity,
-    "op7_language_id": op7_language_id,
-    "op8_quality": op8_quality,
-    "op9_exact_top_k": op9_exact_top_k,
-    "op10_sharding": op10_sharding,
+    f.__name__: f
+    for f in (
+        op1_license_scan,
+        op2_sentencepiece,
+        op3_line_dedup,
+        op4_jaccard_join,
+        op5_decontaminate,
+        op6_toxicity,
+        op7_language_id,
+        op8_quality,
+        op9_exact_top_k,
+        op10_sharding,
+    )
 }
