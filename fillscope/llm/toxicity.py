@@ -12,11 +12,13 @@ buckets), so the model that travels to the tasks does not grow with the data.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -25,7 +27,7 @@ from fillscope.scale import cut_lineage
 from .text import ALNUM, ascii_lower, may_hold, mix, text_slices, word_array, word_hashes, word_places
 
 ORDER = 7
-BUCKET_BITS = 19
+BUCKET_BITS = 18
 DISCOUNT = 0.75
 # A word speaks for the toxic model by what its log-likelihood ratio exceeds this.
 MARGIN = 1.5
@@ -38,15 +40,33 @@ _STEP = np.uint64(0x9E3779B97F4A7C15)
 _LETTER = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0xD1342543DE82EF95))
 
 
-class Model(NamedTuple):
-    """Per order from 2 on: n-gram counts, context totals and distinct followers, by class."""
+class Tables(NamedTuple):
+    """By order (from 2 on), class and bucket: n-gram counts, context totals, different followers."""
 
     grams: np.ndarray
     totals: np.ndarray
     kinds: np.ndarray
+
+
+class Model(NamedTuple):
+    """The tables, packed and broadcast once, and the scale of the score."""
+
+    packed: Broadcast
     weights: np.ndarray
 
 
+def pack(tables: Tables) -> bytes:
+    """Tables as compressed logarithms of half precision; small counts stay exact."""
+    return zlib.compress(np.log1p(np.stack(tables)).astype(np.float16).tobytes(), 1)
+
+
+def unpack(packed: bytes) -> Tables:
+    raw = np.frombuffer(zlib.decompress(packed), np.float16).astype(np.float32)
+    counts = np.expm1(raw)
+    counts = np.where(counts < 256, np.rint(counts), counts)
+    return Tables(*counts.reshape(3, ORDER - 1, 2, 1 << BUCKET_BITS))
+
+
 def spell(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Bytes of the given words, each with a space before it: codes, place in the word, word number."""
     size = end - begin + 1
@@ -106,13 +126,13 @@ def _count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def _tables(words: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Count tables from words (word, n0, n1), by order, class and bucket."""
+def _tables(words: DataFrame) -> Tables:
+    """Count tables from words (word, n0, n1)."""
     raw = words.select("word", "n0", "n1").mapInArrow(
         _count_grams, "n int, gram bigint, context bigint, shorter bigint, anchored boolean, n0 bigint, n1 bigint"
     )
-    # The gram decides its other columns, but the longest order has no use for all of them.
-    exact = raw.groupBy("n", "gram", "context", "shorter", "anchored").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
+    # Stored, as it is read three times.
+    exact = cut_lineage(raw.groupBy("n", "gram", "context", "shorter", "anchored").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1")))
     kinds = [(F.col(c) > 0).cast("long").alias(c) for c in ("n0", "n1")]
     # Orders below the highest count their different left neighbours; words' beginnings have none.
     own = exact.where((F.col("n") == ORDER) | F.col("anchored")).select("n", "gram", "context", "n0", "n1")
@@ -122,20 +142,20 @@ def _tables(words: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     bucket = lambda c: F.call_function("shiftrightunsigned", F.col(c), F.lit(64 - BUCKET_BITS)).alias("bucket")
     sums = [F.sum(c).cast("double").alias(c) for c in ("n0", "n1")]
     seen = [F.sum((F.col(c) > 0).cast("long")).cast("double").alias("k" + c[1]) for c in ("n0", "n1")]
-    shape = (ORDER + 1, 2, 1 << BUCKET_BITS)
+    shape = (ORDER - 1, 2, 1 << BUCKET_BITS)
     grams, totals, followers = np.zeros(shape, np.float32), np.zeros(shape, np.float32), np.zeros(shape, np.float32)
     for column, names, tables in (("gram", ("n0", "n1"), (grams,)), ("context", ("n0", "n1", "k0", "k1"), (totals, followers))):
         found = both.groupBy("n", bucket(column)).agg(*sums, *(seen if len(tables) == 2 else [])).toArrow()
-        where = found.column("n").to_numpy(), found.column("bucket").to_numpy()
+        where = found.column("n").to_numpy() - 2, found.column("bucket").to_numpy()
         for i, name in enumerate(names):
             tables[i // 2][where[0], i % 2, where[1]] = found.column(name).to_numpy()
     # The lowest order is shared by the classes.
     for t in (grams, totals, followers):
-        t[2] = t[2].sum(0, keepdims=True)
-    return grams, totals, followers
+        t[0] = t[0].sum(0, keepdims=True)
+    return Tables(grams, totals, followers)
 
 
-def word_ratios(model: Model, data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+def word_ratios(tables: Tables, data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
     """Log-likelihood ratio (toxic to ordinary) of each word."""
     if not len(begin):
         return np.zeros(0)
@@ -146,21 +166,21 @@ def word_ratios(model: Model, data: np.ndarray, begin: np.ndarray, end: np.ndarr
         at = np.flatnonzero(place >= n - 1)
         gram, context = _bucket(hashes[n - 1][at]), _bucket(hashes[n - 2][np.maximum(at - 1, 0)])
         for c in (0, 1):
-            total = model.totals[n, c][context].astype(np.float64)
+            total = tables.totals[n - 2, c][context].astype(np.float64)
             known = total > 0
             base = np.maximum(total, 1)
-            kept = np.maximum(model.grams[n, c][gram] - DISCOUNT, 0) / base
-            spare = np.where(known, np.minimum(DISCOUNT * model.kinds[n, c][context] / base, 1), 1)
+            kept = np.maximum(tables.grams[n - 2, c][gram] - DISCOUNT, 0) / base
+            spare = np.where(known, np.minimum(DISCOUNT * tables.kinds[n - 2, c][context] / base, 1), 1)
             likely[c][at] = kept + np.maximum(spare, 1e-6) * likely[c][at]
     ratio = np.where(place > 0, np.log(likely[1]) - np.log(likely[0]), 0.0)
     return np.bincount(word, weights=ratio, minlength=len(begin))
 
 
 class Scorer:
-    """Scores texts with one model; remembers words in a table of fixed size."""
+    """Looks at texts with one model; remembers words in a table of fixed size."""
 
-    def __init__(self, model: Model):
-        self.model = model
+    def __init__(self, packed: bytes):
+        self.tables = unpack(packed)
         self.names = np.zeros(1 << CACHE_BITS, np.uint64)
         self.known = np.zeros(1 << CACHE_BITS)
 
@@ -172,7 +192,7 @@ class Scorer:
         if len(missing):
             _, at, back = np.unique(names[missing], return_index=True, return_inverse=True)
             first = missing[at]
-            fresh = word_ratios(self.model, data, begin[first], end[first])
+            fresh = word_ratios(self.tables, data, begin[first], end[first])
             out[missing] = fresh[back]
             self.names[slot[first]] = names[first]
             # Of two words in one slot the later stays.
@@ -240,9 +260,7 @@ def fit(
         .groupBy("word")
         .agg(*[F.sum((F.col("_toxic") == c).cast("long")).alias(f"n{c}") for c in (0, 1)])
     )
-    grams, totals, kinds = _tables(words)
-    model = Model(grams, totals, kinds, np.zeros(4))
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = docs.sparkSession.sparkContext.broadcast(pack(_tables(words)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(shared.value)
@@ -256,7 +274,7 @@ def fit(
     weights = np.array([-30.0, 0, 0, 0])
     if 0 < y.sum() < len(y):
         weights = _logistic(_terms(sample[["a", "b", "c"]].to_numpy(float)), y)
-    return model._replace(weights=weights)
+    return Model(shared, weights)
 
 
 def score(docs: DataFrame, model: Model, text: str = "text", name: str = "toxicity") -> DataFrame:
@@ -264,13 +282,13 @@ def score(docs: DataFrame, model: Model, text: str = "text", name: str = "toxici
 
     All rows and columns stay. Null texts count as empty; empty texts get a score too.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared, weights = model
 
     @F.arrow_udf("double")
     def scored(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         scorer = Scorer(shared.value)
         for array in texts:
             found = scorer.features(pa.record_batch([array], names=["text"]))
-            yield pa.array(1 / (1 + np.exp(-np.clip(_terms(found) @ scorer.model.weights, -30, 30))))
+            yield pa.array(1 / (1 + np.exp(-np.clip(_terms(found) @ weights, -30, 30))))
 
     return docs.withColumn(name, scored(docs[text].cast("string")))
