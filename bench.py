@@ -41,6 +41,10 @@ HEADLINE = (
     "cluster_legend",
     "viz_points",
     "axis_profile",
+    "sampled_trader_stats",
+    "kmeans_check",
+    "projection_check",
+    "clustered_traders",
 )
 
 

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Sums over integer-valued doubles are exact up to 2**53 and therefore do not
-# depend on row order or partitioning. Ratios are summed on this grid.
+# Ratios are summed as integers on this grid, so that sums do not depend on row order or
+# partitioning.
 RATIO_GRID = 1e9
 
 
@@ -16,9 +16,25 @@ def half_even(value: Column, digits: int) -> Column:
     return F.rint(value * scale) / scale
 
 
+def exact_sum(integers: Column) -> Column:
+    """The sum of integers as a decimal of 38 digits, exact for any number of rows."""
+    return F.sum(integers.cast("decimal(28,0)"))
+
+
+def on_grid(value: Column) -> Column:
+    """A ratio as an integer on the grid."""
+    return F.rint(value * RATIO_GRID).cast("decimal(28,0)")
+
+
 def grid_mean(value: Column) -> Column:
     """Mean of a ratio, independent of row order (see RATIO_GRID)."""
-    return F.sum(F.rint(value * RATIO_GRID)) / RATIO_GRID / F.count(value)
+    return F.sum(on_grid(value)).cast("double") / RATIO_GRID / F.count(value)
+
+
+def rounded_away(integers: Column, unit: int) -> Column:
+    """Whole units of an integer that is not negative, ties away from zero."""
+    shifted = integers.cast("decimal(38,0)") + F.lit(unit // 2)
+    return F.floor((shifted - F.pmod(shifted, F.lit(unit).cast("decimal(38,0)"))) / F.lit(unit)).cast("double")
 
 
 def clamp(value: Column, low: float, high: float) -> Column:

@@ -7,7 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from fillscope.functions.categories import HISTOGRAM_RULES, MARKET_RULES, Rules, decode_one_hot, one_hot
-from fillscope.functions.numeric import half_even
+from fillscope.functions.numeric import exact_sum, rounded_away
 from fillscope.operators.markets import categorized_markets, token_categories
 from fillscope.scale import lookup_join
 from fillscope.schemas import DEFAULT_CATEGORY, FLAG_COLUMNS
@@ -47,6 +47,18 @@ def trade_categories(
     )
 
 
+def with_history(categorized: DataFrame, history: DataFrame) -> DataFrame:
+    """Add the earlier primary category of the maker to trades categorised by token only."""
+    past = history.groupBy(F.lower("trader").alias("history_key")).agg(F.max("primary_category").alias("past"))
+    found = lookup_join(categorized.withColumn("history_key", F.lower("maker")), past, "history_key", "left")
+    return found.withColumns(
+        {
+            "cat_by_history": F.col("past"),
+            "category": F.coalesce("cat_by_token", "past", F.lit(DEFAULT_CATEGORY)),
+        }
+    ).select(categorized.columns)
+
+
 def trader_primary_category(categorized_trades: DataFrame) -> DataFrame:
     """Most frequent category per maker, ties by category name.
 
@@ -70,11 +82,14 @@ def updated_trader_stats(stats: DataFrame, primary: DataFrame) -> DataFrame:
 
 
 def market_distribution(markets: DataFrame, rules: Rules = HISTOGRAM_RULES) -> DataFrame:
-    """Markets and volume in millions per category (volumes are summed in cents)."""
-    cents = F.sum(F.rint(F.col("market_total_volume") * 100))
+    """Markets and volume in millions per category, summed in millionths of a dollar.
+
+    Rounding to two decimals of a million goes away from zero, here and in the other histogram.
+    """
+    millionths = exact_sum(F.rint(F.col("market_total_volume") * 1e6))
     return categorized_markets(markets, rules).groupBy("category").agg(
         F.count(F.lit(1)).alias("market_count"),
-        half_even(cents / 100 / 1e6, 2).alias("total_vol_m_usd"),
+        (rounded_away(millionths, 10**10) / 100).alias("total_vol_m_usd"),
     )
 
 
@@ -92,7 +107,6 @@ def misc_questions(markets: DataFrame, rows: int = 10, rules: Rules = HISTOGRAM_
 def trade_activity_by_category(
     trades: DataFrame,
     markets: DataFrame,
-    max_trades: int | None = None,
     rules: Rules = HISTOGRAM_RULES,
 ) -> DataFrame:
     """Trades and volume per category, a trade counting for every market whose
@@ -109,12 +123,11 @@ def trade_activity_by_category(
         .agg(F.count(F.lit(1)).alias("markets"))
     )
     lengths = by_condition.agg(F.collect_set(F.length("condition_id")).alias("lengths"))
-    some = trades.limit(max_trades) if max_trades is not None else trades
-    pairs = some.groupBy(
+    pairs = trades.groupBy(
         F.lower("maker_asset_id").alias("maker_asset"), F.lower("taker_asset_id").alias("taker_asset")
     ).agg(
         F.count(F.lit(1)).alias("fills"),
-        F.sum((F.col("maker_amount") + F.col("taker_amount")).cast("double")).alias("units"),
+        exact_sum(F.col("maker_amount").cast("decimal(20,0)") + F.col("taker_amount").cast("decimal(20,0)")).alias("units"),
     )
     wanted = sorted(lengths.first()["lengths"] or [])
     pieces = pairs.select(
@@ -125,7 +138,7 @@ def trade_activity_by_category(
         .groupBy("category")
         .agg(
             F.sum(F.col("fills") * F.col("markets")).alias("trade_count"),
-            half_even(F.sum(F.col("units") * F.col("markets")) / 2e6, 2).alias("estimated_vol_usd"),
+            (rounded_away(exact_sum(F.col("units") * F.col("markets")), 20_000) / 100).alias("estimated_vol_usd"),
         )
     )
 
@@ -191,7 +204,7 @@ def refresh_clusters(updated_stats: DataFrame, clustered: DataFrame) -> DataFram
     Addresses match ignoring case. Only the label columns of the earlier run are
     read.
     """
-    labels = [c for c in ("kmeans_cluster", "density_cluster", "proj_1", "proj_2") if c in clustered.columns]
+    labels = [c for c in ("kmeans_cluster", "proj_1", "proj_2") if c in clustered.columns]
     earlier = clustered.select(F.lower("trader").alias("trader_key"), *labels)
     return (
         with_one_hot(updated_stats)

@@ -46,14 +46,9 @@ def fit_kmeans(
     return min(models, key=lambda model: model.summary.trainingCost)
 
 
-# Rows per partition from which a k-means pass outweighs scheduling its task.
-ROWS_PER_FIT_TASK = 50_000
-
-
 def kmeans_clusters(vectors: DataFrame, **settings) -> DataFrame:
-    """Cluster labels from the best fit; ``vectors`` is read many times."""
-    tasks = max(1, vectors.count() // ROWS_PER_FIT_TASK)
-    stored = vectors.coalesce(tasks).cache() if tasks < vectors.rdd.getNumPartitions() else vectors.cache()
+    """Cluster labels from the best fit; ``vectors`` is read many times, dealt by trader."""
+    stored = vectors.repartition("trader").persist()
     try:
         model = fit_kmeans(stored, **settings)
     finally:

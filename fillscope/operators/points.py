@@ -39,7 +39,7 @@ def plot_rows(clustered: DataFrame) -> DataFrame:
             values.append((_positive_log(raw) if name in LOG_FIELDS else raw).alias(name + suffix))
     present = [name for name in FLAG_COLUMNS if name in clustered.columns]
     extra = [
-        c for c in ("proj_1", "proj_2", "kmeans_cluster", "density_cluster") if c in clustered.columns
+        c for c in ("proj_1", "proj_2", "kmeans_cluster") if c in clustered.columns
     ]
     return clustered.select(
         "trader", *values, decode_one_hot(present).alias("category"), *present, *extra

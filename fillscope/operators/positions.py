@@ -7,8 +7,10 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from fillscope.functions import fills
+from fillscope.functions.numeric import exact_sum
 from fillscope.functions.times import block_epoch, utc_time
 from fillscope.operators.markets import DEFAULT_THRESHOLD, expand_markets, token_dimension, tokens
+from fillscope.operators.subset import trades_of
 from fillscope.scale import lookup_join, spread_by_order
 
 
@@ -65,6 +67,9 @@ def position_units(
         fills.dollar_units().alias("dollar_units"),
         fills.contract_units().alias("contract_units"),
     )
+    if traders is not None:
+        # Fills of other parties go before they meet the lookups.
+        facts = trades_of(facts, traders)
     facts = lookup_join(facts, resolved, "token").join(timed, "block_number")
     sides = facts.select(
         *[c for c in facts.columns if c not in ("maker", "taker", "maker_asset_id", "taker_asset_id")],
@@ -216,5 +221,5 @@ def running_profit(rows: DataFrame) -> DataFrame:
 
 def total_profit(rows: DataFrame) -> DataFrame:
     """Sum of profit per user over the profit rows."""
-    total = F.sum(F.col("profit_units").cast("double")) / fills.UNIT
+    total = exact_sum(F.col("profit_units")).cast("double") / fills.UNIT
     return rows.groupBy("user").agg(total.alias("total_profit"))

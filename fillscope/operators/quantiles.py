@@ -8,9 +8,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from fillscope.scale import lookup_join
+from fillscope.scale import cut_lineage
 
 CUTS = 64
+# Groups up to which their cut points, a few hundred bytes each, are broadcast.
+BROADCAST_GROUPS = 10_000
 
 
 def exact_medians(df: DataFrame, keys: Sequence[str], value: str, name: str = "median") -> DataFrame:
@@ -23,7 +25,9 @@ def exact_medians(df: DataFrame, keys: Sequence[str], value: str, name: str = "m
     4. Only that bucket, about one part in ``CUTS`` of the group's distinct values,
        is ranked.
 
-    ``df`` is read by two branches; store it first if it is costly.
+    ``df`` is read by two branches; store it first if it is costly. The counted values and the
+    cut points are stored. Cut points of up to ``BROADCAST_GROUPS`` groups are broadcast, so
+    that no value moves to its group.
     """
     keys = list(keys)
     cells = (
@@ -31,12 +35,15 @@ def exact_medians(df: DataFrame, keys: Sequence[str], value: str, name: str = "m
         .groupBy(*keys, F.col(value).cast("double").alias("value"))
         .agg(F.count(F.lit(1)).alias("n"))
     )
+    cells = cut_lineage(cells)
     steps = [position / CUTS for position in range(1, CUTS)]
     sketch = df.filter(F.col(value).isNotNull()).groupBy(*keys).agg(
         F.percentile_approx(F.col(value).cast("double"), steps, 10_000).alias("cuts"),
         F.count(F.lit(1)).alias("total"),
     )
-    placed = lookup_join(cells, sketch, keys).select(
+    sketch = cut_lineage(sketch)
+    few = sketch.limit(BROADCAST_GROUPS + 1).count() <= BROADCAST_GROUPS
+    placed = cells.join(F.broadcast(sketch) if few else sketch, keys).select(
         *keys,
         "value",
         "n",
@@ -47,7 +54,8 @@ def exact_medians(df: DataFrame, keys: Sequence[str], value: str, name: str = "m
     sizes = placed.groupBy(*keys, "bucket").agg(F.sum("n").alias("bucket_n"))
     earlier = W.partitionBy(*keys).orderBy("bucket").rowsBetween(W.unboundedPreceding, -1)
     starts = sizes.withColumn("bucket_start", F.coalesce(F.sum("bucket_n").over(earlier), F.lit(0)))
-    middle = placed.join(starts, [*keys, "bucket"]).filter(
+    starts = cut_lineage(starts)
+    middle = placed.join(F.broadcast(starts) if few else starts, [*keys, "bucket"]).filter(
         (F.col("low_rank") < F.col("bucket_start") + F.col("bucket_n"))
         & (F.col("high_rank") >= F.col("bucket_start"))
     )

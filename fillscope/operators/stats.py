@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fillscope.functions import fills
-from fillscope.functions.numeric import RATIO_GRID, clamp, grid_mean, half_even
+from fillscope.functions.numeric import RATIO_GRID, clamp, exact_sum, grid_mean, half_even
 from fillscope.functions.times import SECONDS_PER_DAY
 from fillscope.operators.markets import DEFAULT_THRESHOLD, tokens
 from fillscope.operators.positions import position_units
@@ -60,9 +60,8 @@ def win_rate_leaderboard(
 
 
 # The same aggregates over all positions and, where ``bought_contract`` holds, over
-# buys. Amounts are summed as integer-valued doubles and ratios on a fixed grid; both
-# are exact far beyond the volume of one trader, so the sums do not depend on
-# partitioning, retries or the order of shuffle blocks.
+# buys. Amounts, and ratios on a fixed grid, are summed as integers of 38 digits, so the sums
+# do not depend on partitioning, retries or the order of shuffle blocks.
 _SUMS = {
     "n": "count(*)",
     "wins": "count_if(won)",
@@ -78,13 +77,13 @@ def _measures(sums: str, suffix: str) -> list[Column]:
     """The eight metrics from the columns of one set of sums."""
     expressions = {
         "win_rate": "{0}wins / {0}n",
-        "avg_trade_size": "({0}dollars / 1e6D) / {0}n",
-        "total_trade_volume": "{0}dollars / 1e6D",
+        "avg_trade_size": "(double({0}dollars) / 1e6D) / {0}n",
+        "total_trade_volume": "double({0}dollars) / 1e6D",
         "total_trade_number": "{0}n",
         "frequency": f"if({{0}}n > 1, {{0}}n / (floor(({{0}}last - {{0}}first) / {SECONDS_PER_DAY}) + 1), 0D)",
-        "net_gains_loss": "{0}gains / 1e6D",
-        "avg_odds": f"{{0}}odds / {RATIO_GRID}D / {{0}}n",
-        "profit_per_trade": "({0}gains / 1e6D) / {0}n",
+        "net_gains_loss": "double({0}gains) / 1e6D",
+        "avg_odds": f"double({{0}}odds) / {RATIO_GRID}D / {{0}}n",
+        "profit_per_trade": "(double({0}gains) / 1e6D) / {0}n",
     }
     return [F.expr(text.format(sums)).alias(name + suffix) for name, text in expressions.items()]
 
@@ -106,9 +105,9 @@ def trader_stats(
         "bought_contract",
         "won",
         "epoch",
-        "double(dollar_units) AS dollar_units",
-        "double(profit_units) AS profit_units",
-        f"rint(odds * {RATIO_GRID}D) AS odds_grid",
+        "CAST(dollar_units AS DECIMAL(28, 0)) AS dollar_units",
+        "CAST(profit_units AS DECIMAL(28, 0)) AS profit_units",
+        f"CAST(rint(odds * {RATIO_GRID}D) AS DECIMAL(28, 0)) AS odds_grid",
     )
     sums = units.groupBy("trader").agg(
         *[F.expr(text).alias(f"all_{name}") for name, text in _SUMS.items()],
@@ -165,8 +164,8 @@ def proxy_win_rates(categorized_trades: DataFrame) -> DataFrame:
         F.countDistinct("fill_id").alias("n_fills"),
         grid_mean(F.col("score")).alias("avg_score"),
         grid_mean(F.col("implied_price")).alias("avg_implied_price"),
-        F.avg("position_size").alias("avg_position_size"),
-        F.sum("position_size").alias("total_position_size"),
+        (exact_sum(F.col("position_size")).cast("double") / F.count(F.lit(1))).alias("avg_position_size"),
+        exact_sum(F.col("position_size")).cast("double").alias("total_position_size"),
     )
     activity = clamp(
         F.log1p(F.col("n_positions").cast("double")) / F.log(F.lit(1.0 + PROXY_ACTIVITY_CAP)), 0.0, 1.0

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from fillscope import schemas
 from fillscope.functions.numeric import half_even, hash_bucket
-from fillscope.operators import categories, clusters, density, features, markets, points, positions, stats, subset
+from fillscope.operators import categories, clusters, features, markets, points, positions, stats, subset
 from fillscope.scale import cut_lineage, shared_folder
 from fillscope.sources import catalog, readers, sinks
 from fillscope.sources.sample_tables import SampleTables, derive_trades
@@ -112,7 +112,7 @@ def trader_counts(t: SampleTables) -> DataFrame:
 
 @query
 def active_trader_count(t: SampleTables) -> DataFrame:
-    active = subset.active_traders(subset.trader_counts(t.trades), MIN_TRADES)
+    active = subset.active_traders(subset.trader_counts(t.trades))
     return active.agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -198,14 +198,14 @@ def _updated(t: SampleTables) -> DataFrame:
     return categories.updated_trader_stats(_stats(t), primary)
 
 
-def _history(t: SampleTables) -> DataFrame:
-    """Primary categories of an earlier run, with addresses in capitals."""
-    primary = categories.trader_primary_category(categories.trade_categories(t.trades, t.markets))
-    return primary.select(F.upper("trader").alias("trader"), "primary_category")
-
-
 def _categorized(t: SampleTables) -> DataFrame:
-    return categories.trade_categories(t.trades, t.markets, _history(t))
+    """Categories with the history of an earlier run, whose addresses are in capitals.
+
+    The first categorisation is stored: it gives both the history and the rows.
+    """
+    first = cut_lineage(categories.trade_categories(t.trades, t.markets))
+    primary = categories.trader_primary_category(first)
+    return categories.with_history(first, primary.select(F.upper("trader").alias("trader"), "primary_category"))
 
 
 @query
@@ -213,6 +213,21 @@ def trader_stats(t: SampleTables) -> DataFrame:
     return _stats(t)
 
 
+@query
+def sampled_trader_stats(t: SampleTables) -> DataFrame:
+    """Metrics of the sampled traders, from their own fills."""
+    sampled = cut_lineage(subset.sample_traders(t.trades, RATE, MIN_TRADES))
+    return stats.trader_stats(t.trades, t.blocks, t.markets, traders=sampled)
+
+
+@query
+def address_chain(t: SampleTables) -> DataFrame:
+    """One spelling of an address, its exact form, and the number of its trades."""
+    exact = subset.exact_address(t.trades, USER.lower()).first()
+    address = exact.maker if exact else None
+    return subset.count_trades_of(t.trades, address).select(F.lit(address).cast("string").alias("address"), "n")
+
+
 @query
 def two_sided_positions(t: SampleTables) -> DataFrame:
     return stats.two_sided_positions(categories.trade_categories(t.trades, t.markets))
@@ -274,6 +289,15 @@ def category_comparison(t: SampleTables) -> DataFrame:
     return categories.category_comparison(updated, categories.with_one_hot(primary))
 
 
+@query
+def category_total_difference(t: SampleTables) -> DataFrame:
+    primary = cut_lineage(
+        categories.trader_primary_category(categories.trade_categories(t.trades, t.markets))
+    )
+    updated = categories.updated_trader_stats(_stats(t), primary)
+    return categories.total_difference(categories.category_comparison(updated, categories.with_one_hot(primary)))
+
+
 # --- features, clusters and reports ------------------------------------------------
 
 
@@ -299,15 +323,49 @@ def kmeans_clusters(t: SampleTables) -> DataFrame:
 
 
 @query
-def density_clusters(t: SampleTables) -> DataFrame:
+def feature_projection(t: SampleTables) -> DataFrame:
     vectors = features.feature_vectors(features.scaled_features(cut_lineage(_updated(t))))
-    return density.density_clusters(cut_lineage(vectors))
+    return features.project(cut_lineage(vectors))
 
 
 @query
-def feature_projection(t: SampleTables) -> DataFrame:
+def kmeans_check(t: SampleTables) -> DataFrame:
+    """What SQL knows of fitted labels: every trader has one, and all are used."""
     vectors = features.feature_vectors(features.scaled_features(cut_lineage(_updated(t))))
-    return features.project(cut_lineage(vectors))
+    return clusters.kmeans_clusters(cut_lineage(vectors)).agg(
+        F.count("kmeans_cluster").alias("labelled"),
+        F.countDistinct("kmeans_cluster").alias("clusters"),
+        (F.max("kmeans_cluster") + 1).cast("long").alias("largest_label_plus_one"),
+    )
+
+
+@query
+def projection_check(t: SampleTables) -> DataFrame:
+    """What SQL knows of a projection: a place for all, widest axis first, axes without correlation."""
+    vectors = features.feature_vectors(features.scaled_features(cut_lineage(_updated(t))))
+    placed = features.project(cut_lineage(vectors))
+    return placed.agg(
+        F.count("proj_1").alias("n"),
+        (F.var_pop("proj_1") >= F.var_pop("proj_2")).alias("first_is_wider"),
+        F.abs(half_even(F.corr("proj_1", "proj_2"), 6)).alias("correlation"),
+    )
+
+
+def _clustered_traders(t: SampleTables) -> DataFrame:
+    """Metrics, category flags, fitted label and place of every trader."""
+    updated = cut_lineage(_updated(t))
+    vectors = cut_lineage(features.feature_vectors(features.scaled_features(updated)))
+    labels, places = clusters.kmeans_clusters(vectors), features.project(vectors)
+    joined = categories.with_one_hot(updated).join(labels, "trader", "left").join(places, "trader", "left")
+    return joined.select(schemas.CLUSTERED_TRADERS.fieldNames())
+
+
+@query
+def clustered_traders(t: SampleTables) -> DataFrame:
+    """The clustered traders; label and place, which a fit decides, as whether they are there."""
+    return _clustered_traders(t).select(
+        "*", F.col("kmeans_cluster").isNotNull().alias("labelled"), (F.col("proj_1").isNotNull() & F.col("proj_2").isNotNull()).alias("placed")
+    ).drop("kmeans_cluster", "proj_1", "proj_2")
 
 
 @query
@@ -327,7 +385,7 @@ def kmeans_cluster_report(t: SampleTables) -> DataFrame:
     """The report over fitted k-means labels."""
     updated = cut_lineage(_updated(t))
     vectors = cut_lineage(features.feature_vectors(features.scaled_features(updated)))
-    labels = clusters.kmeans_clusters(vectors, starts=5)
+    labels = clusters.kmeans_clusters(vectors)
     return clusters.cluster_report(cut_lineage(updated.join(labels, "trader")), "kmeans_cluster")
 
 
@@ -387,4 +445,5 @@ def catalog_objects(t: SampleTables) -> DataFrame:
 
 @query
 def dataset_profile(t: SampleTables) -> DataFrame:
-    return catalog.profile_dataset(t.spark, t.folder, max_files=None).drop("schema")
+    found = catalog.profile_dataset(t.spark, t.folder)
+    return found.select("file_name", "total_rows", "n_columns")

@@ -1,7 +1,6 @@
 """Shared building blocks that decide how work is spread over a cluster.
 
-* ``lookup_join`` broadcasts a dimension only when its size is known to be small,
-  and shuffles otherwise.
+* ``lookup_join`` keeps the large table where adaptive execution can split hot keys.
 * ``cut_lineage`` stores an intermediate result reliably, so that several passes
   read it instead of recomputing it, also after an executor is lost.
 * ``spread_by_order`` range-partitions rows by a sort key and numbers the
@@ -17,13 +16,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-BROADCAST_LIMIT_BYTES = 256 * 1024 * 1024
-# In-memory cost of one row in a broadcast hash relation beyond its values.
-ROW_OVERHEAD_BYTES = 48
-
-_measured: dict[tuple, int] = {}
+_stages: list[str] = []
 
 
 def checkpoint_root(spark: SparkSession) -> str:
@@ -61,71 +55,29 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """
     spark = df.sparkSession
     path = shared_folder(spark, "stage")
+    _stages.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def estimated_bytes(df: DataFrame) -> int | None:
-    """The optimizer's size estimate, or None where it is not reachable."""
-    try:
-        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
-    except AttributeError:
-        return None
-
-
-def measured_bytes(df: DataFrame) -> int:
-    """The in-memory size of ``df``, from one distributed aggregate."""
-    fixed, variable = ROW_OVERHEAD_BYTES, []
-    for field in df.schema.fields:
-        if isinstance(field.dataType, (T.StringType, T.BinaryType)):
-            variable.append(F.coalesce(F.octet_length(F.col(f"`{field.name}`")), F.lit(0)))
-        elif isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType)):
-            variable.append(F.length(F.to_json(F.struct(f"`{field.name}`"))))
-        else:
-            fixed += 8
-    row = F.lit(fixed).cast("long")
-    for part in variable:
-        row = row + part
-    return int(df.agg(F.coalesce(F.sum(row), F.lit(0))).first()[0])
-
-
-def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_LIMIT_BYTES) -> DataFrame:
-    """Hint a broadcast only for a side whose measured size is within ``limit``.
-
-    Below Spark's own threshold no hint is needed. Far above the limit the
-    measurement is not worth its scan. In both cases ``df`` comes back unchanged
-    and Spark plans the join, with adaptive execution splitting hot keys.
-    """
-    spark = df.sparkSession
-    estimate = estimated_bytes(df)
-    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")
-    digits = "".join(ch for ch in threshold if ch.isdigit() or ch == "-")
-    automatic = int(digits) if threshold.strip("b").lstrip("-").isdigit() else 10485760
-    if automatic < 0:
-        return df
-    if estimate is not None and (estimate <= automatic or estimate > 8 * limit):
-        return df
-    # The estimate follows the sizes of the files, so a grown table is measured anew.
-    key = (spark.sparkContext.applicationId, df.semanticHash(), estimate)
-    if key not in _measured:
-        _measured[key] = measured_bytes(df)
-    return F.broadcast(df) if _measured[key] <= limit else df
-
-
-def lookup_join(
-    facts: DataFrame,
-    dimension: DataFrame,
-    on: str | Sequence[str],
-    how: str = "inner",
-    limit: int = BROADCAST_LIMIT_BYTES,
-) -> DataFrame:
+def drop_stages(spark: SparkSession) -> int:
+    """Delete the stored stages of this process; call it when their results are no longer read."""
+    dropped = 0
+    while _stages:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_stages.pop())
+        dropped += bool(path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True))
+    return dropped
+
+
+def lookup_join(facts: DataFrame, dimension: DataFrame, on: str | Sequence[str], how: str = "inner") -> DataFrame:
     """Join a large table (kept on the left) with a smaller one.
 
-    With a small dimension the facts are not shuffled at all. With a large one
-    both sides shuffle; the facts being on the left lets adaptive execution split
+    Spark broadcasts a dimension whose size is within its thresholds (see
+    ``session.TUNING``): file sizes decide while planning, real shuffle sizes at run time. Beyond
+    them both sides shuffle; the facts being on the left lets adaptive execution split
     the partitions of hot keys for inner and left joins alike.
     """
-    return facts.join(broadcast_if_small(dimension, limit), on, how)
+    return facts.join(dimension, on, how)
 
 
 def spread_by_order(

@@ -79,7 +79,6 @@ CLUSTERED_TRADERS = T.StructType(
     + _struct(
         **{name: _bool for name in FLAG_COLUMNS},
         kmeans_cluster=_int,
-        density_cluster=_int,
         proj_1=_double,
         proj_2=_double,
     ).fields

@@ -16,13 +16,24 @@ TUNING = {
     # an extra exchange.
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # A dimension within this size is broadcast, by its files' size or by what a shuffle wrote.
+    "spark.sql.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
+    # Shuffles start wide and are coalesced to this size, so that they also fit large inputs.
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 * 1024 * 1024),
     # Input splits of 128 MB keep a task's sort and hash buffers in memory.
     "spark.sql.files.maxPartitionBytes": str(128 * 1024 * 1024),
 }
 
 
-def tune(spark: SparkSession) -> SparkSession:
-    """Apply the run-time settings to an existing session."""
+def tune(spark: SparkSession, initial_partitions: int | None = None) -> SparkSession:
+    """Apply the run-time settings to an existing session.
+
+    ``initial_partitions``: the width at which shuffles start before they are coalesced; about
+    the bytes of the largest shuffle over 128 MB.
+    """
+    if initial_partitions:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(initial_partitions))
     for key, value in TUNING.items():
         spark.conf.set(key, value)
     return spark

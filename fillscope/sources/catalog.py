@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -66,10 +66,10 @@ def table_columns(spark: SparkSession, name: str) -> list[str]:
 def list_data_files(
     spark: SparkSession,
     root: str,
-    max_files: int | None = 3,
+    max_files: int | None = None,
     skipped: Iterable[str] = SKIPPED_FOLDERS,
 ) -> DataFrame:
-    """Parquet files below ``root``, the first ``max_files`` of each folder by name."""
+    """Parquet files below ``root``; with ``max_files``, only the first of each folder by name."""
     files = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", True)
@@ -98,36 +98,43 @@ def list_data_files(
 def profile_dataset(
     spark: SparkSession,
     root: str,
-    max_files: int | None = 3,
+    max_files: int | None = None,
     skipped: Iterable[str] = SKIPPED_FOLDERS,
 ) -> DataFrame:
-    """Per file: name, row count and column names with types.
+    """Per folder and file: row count and column names with types.
 
-    Only the list of selected files comes to the driver; rows are counted by the
-    executors, one scan per distinct folder and schema.
+    A file's schema is read from its own footer. Files without rows are listed with 0, an empty
+    tree gives no rows. Only the list of files comes to the driver.
     """
-    chosen = list_data_files(spark, root, max_files, skipped).select("path").toLocalIterator()
+    files = list_data_files(spark, root, max_files, skipped)
     by_schema: dict[str, list[str]] = {}
-    for row in chosen:
+    for row in files.select("path").toLocalIterator():
         by_schema.setdefault(spark.read.parquet(row.path).schema.json(), []).append(row.path)
+    parts = F.split(F.col("path"), "/")
 
     def one(paths: list[str]) -> DataFrame:
         rows = spark.read.parquet(*paths)
-        columns = ", ".join(f"{field.name} {field.dataType.simpleString()}" for field in rows.schema)
-        return (
-            rows.groupBy(F.col("_metadata.file_name").alias("file_name"))
-            .agg(F.count(F.lit(1)).alias("total_rows"))
-            .select(
-                "file_name",
-                "total_rows",
-                F.lit(len(rows.columns)).cast("long").alias("n_columns"),
-                F.lit(columns).alias("schema"),
-            )
+        columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema)
+        counts = rows.groupBy(_plain_path(F.col("_metadata.file_path")).alias("path")).agg(F.count(F.lit(1)).alias("total_rows"))
+        listed = spark.createDataFrame([(p,) for p in paths], "path string").select(_plain_path(F.col("path")).alias("path"))
+        return listed.join(counts, "path", "left").select(
+            F.array_join(F.slice(parts, F.lit(1), F.size(parts) - 1), "/").alias("folder"),
+            F.element_at(parts, -1).alias("file_name"),
+            F.coalesce("total_rows", F.lit(0)).cast("long").alias("total_rows"),
+            F.lit(len(rows.columns)).cast("long").alias("n_columns"),
+            F.lit(columns).alias("schema"),
         )
 
+    if not by_schema:
+        return spark.createDataFrame([], "folder string, file_name string, total_rows long, n_columns long, schema string")
     return reduce(DataFrame.unionByName, [one(paths) for paths in by_schema.values()])
 
 
+def _plain_path(path: Column) -> Column:
+    """A path without the scheme of local files, whose spelling varies."""
+    return F.regexp_replace(path, "^file:/+", "/")
+
+
 def preview(spark: SparkSession, path: str, rows: int = 5) -> DataFrame:
     """The first rows of one file."""
     return spark.read.parquet(path).limit(rows)

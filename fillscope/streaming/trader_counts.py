@@ -27,7 +27,7 @@ def _disk_backed_state(spark: SparkSession) -> Iterator[None]:
 
     Counters of all traders need not fit in executor memory.
     """
-    chosen = spark.conf.get(_PROVIDER, "")
+    chosen = spark.conf.get(_PROVIDER, None)
     if chosen and "HDFSBacked" not in chosen:
         yield
         return
@@ -35,7 +35,10 @@ def _disk_backed_state(spark: SparkSession) -> Iterator[None]:
     try:
         yield
     finally:
-        spark.conf.unset(_PROVIDER)
+        if chosen is None:
+            spark.conf.unset(_PROVIDER)
+        else:
+            spark.conf.set(_PROVIDER, chosen)
 
 
 def start_counts(trades: DataFrame, checkpoint: str) -> StreamingQuery:

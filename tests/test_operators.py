@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import random
 import statistics
 
@@ -9,6 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from fillscope import scale, schemas
+from fillscope.functions.numeric import exact_sum, grid_mean, rounded_away
 from fillscope.operators import categories, clusters, features, points, positions, quantiles, subset
 from fillscope.plans import registry
 from fillscope.streaming.trader_counts import start_counts, read_counts, stream_trader_counts
@@ -123,7 +125,6 @@ def test_containment_equals_comparing_all(spark):
             units = sum(r[7] + r[8] for r in hits) * copies
             expected[names[condition]] = (len(hits) * copies, round(units / 2e6, 2))
     assert found == expected
-    assert categories.trade_activity_by_category(trades(spark, *rows), listed, max_trades=0).count() == 0
 
 
 def test_category_comparison_of_equal_stages(spark):
@@ -188,16 +189,52 @@ def test_thinning_keeps_the_busiest(spark):
     assert points.thin_points(plotted, min_trades=1500, x_field="avg_odds", y_field="win_rate").count() == 1
 
 
-def test_lookup_join_sizes(spark):
-    facts = spark.range(100).withColumnRenamed("id", "k")
-    dimension = spark.range(50).select(F.col("id").alias("k"), F.concat(F.lit("v"), "id").alias("v"))
-    assert scale.measured_bytes(dimension) > 50 * 48
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10")
+def test_lookup_join_follows_a_grown_dimension(spark, tmp_path):
+    facts = spark.range(1_000_000).withColumnRenamed("id", "k")
+    path = str(tmp_path / "dimension")
+
+    def plan(rows: int) -> str:
+        spark.range(rows).select(F.col("id").alias("k"), F.md5(F.col("id").cast("string")).alias("v")).write.mode("append").parquet(path)
+        joined = scale.lookup_join(facts, spark.read.parquet(path), "k")
+        return joined._jdf.queryExecution().executedPlan().toString()
+
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "20000")
     try:
-        small = scale.lookup_join(facts, dimension, "k", limit=1 << 20)
-        large = scale.lookup_join(facts, dimension, "k", limit=1000)
-        assert "BroadcastHashJoin" in small._jdf.queryExecution().executedPlan().toString()
-        assert "SortMergeJoin" in large._jdf.queryExecution().executedPlan().toString()
-        assert small.count() == large.count() == 50
+        assert "BroadcastHashJoin" in plan(50)
+        assert "SortMergeJoin" in plan(20_000)
     finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(64 << 20))
+
+
+def test_sums_do_not_depend_on_partitions(spark):
+    rows = spark.range(1_000_000).select(
+        F.lit("a").alias("g"), (F.lit(50.0) + (F.col("id") * 7919 % 1000003) / 1000003.0).alias("price"), (F.col("id") * 104729 % 10**9).alias("units")
+    )
+    found = {
+        tuple(rows.repartition(n).groupBy("g").agg(grid_mean(F.col("price")), exact_sum(F.col("units"))).first())
+        for n in (1, 3, 7, 16)
+    }
+    grid = sum(round((50.0 + (i * 7919 % 1000003) / 1000003.0) * 1e9) for i in range(1_000_000))
+    units = sum(i * 104729 % 10**9 for i in range(1_000_000))
+    assert found == {("a", float(grid) / 1e9 / 1_000_000, units)}
+
+
+def test_rounding_goes_away_from_zero(spark):
+    units = [9_999, 10_000, 29_999, 30_000, 50_000, 2**60]
+    found = spark.createDataFrame([(u,) for u in units], "u long").select(rounded_away(F.col("u"), 20_000).alias("r"))
+    assert [r.r for r in found.collect()] == [float((u + 10_000) // 20_000) for u in units]
+
+
+def test_stages_are_dropped(spark, tmp_path):
+    kept = scale.cut_lineage(spark.range(3))
+    assert kept.count() == 3
+    assert scale.drop_stages(spark) > 0 and scale.drop_stages(spark) == 0
+
+
+def test_defaults_sample_one_in_a_hundred(spark):
+    names = [f"0x{i}" for i in range(600)]
+    busy = [trade(n, None, "0", "1", 1, 1) for n in names for _ in range(100)] + [trade("0x9999999", None, "0", "1", 1, 1)]
+    found = {r.trader for r in subset.sample_traders(trades(spark, *busy)).collect()}
+    assert found == {n for n in names if int(hashlib.md5(n.encode()).hexdigest()[:8], 16) % 100 == 0}
+    assert subset.trades_by_maker(trades(spark, *busy)).count() == 0
+    assert subset.trades_by_maker(trades(spark, *busy), more_than=99).count() == 600

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 
 from fillscope import schemas
@@ -66,6 +68,27 @@ def test_profile_skips_and_limits(spark, tmp_path):
     assert catalog.nth_row(spark.range(100), 42, ["id"]).first().id == 42
 
 
+def test_profile_keeps_folders_and_empty_files_apart(spark, tmp_path):
+    assert catalog.profile_dataset(spark, str(tmp_path)).count() == 0
+    for folder, rows in (("a", 3), ("b", 5), ("c", 0)):
+        (tmp_path / folder).mkdir()
+        pq.write_table(pa.table({"id": pa.array(range(rows), pa.int64())}), tmp_path / folder / "x.parquet")
+    found = catalog.profile_dataset(spark, str(tmp_path)).collect()
+    assert sorted((r.folder.rsplit("/", 1)[1], r.file_name, r.total_rows) for r in found) == [
+        ("a", "x.parquet", 3),
+        ("b", "x.parquet", 5),
+        ("c", "x.parquet", 0),
+    ]
+
+
+def test_saved_table_is_replaced(spark):
+    sinks.save_table(spark.range(3), "saved_rows")
+    sinks.save_table(spark.range(5), "saved_rows")
+    found = catalog.describe_objects(spark, ["saved_rows"]).first()
+    assert (found.object_type, found.row_count) == ("TABLE", 5)
+    spark.sql("DROP TABLE saved_rows")
+
+
 def test_report_text(spark, tmp_path):
     rows = spark.createDataFrame([(0, 1.0), (0, 3.0), (1, 5.0)], "cluster int, v double")
     report = clusters.cluster_report(rows, features=["v"])
