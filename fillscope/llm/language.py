@@ -148,15 +148,28 @@ def fit(
     share = F.least(F.lit(1.0), F.lit(2.0 * texts_per_language) / F.col("n"))
     part = (F.pmod("order", F.lit(1 << 20)) / (1 << 20)).cast("double")
     candidates = known.join(F.broadcast(bounds.orderBy(F.desc("n"), "lang").limit(10_000)), "lang").where(part <= share)
-    first = candidates.withColumn("rank", F.row_number().over(W.partitionBy("lang").orderBy("order", "text")))
-    sample = cut_lineage(first.where(F.col("rank") <= texts_per_language).select("lang", "text"))
+
+    def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start, counts in _count_rows(batch):
+                found = _vectors(counts, idf).astype(np.float32)
+                yield pa.record_batch(
+                    [*(batch.column(c).slice(start, len(found)) for c in ("lang", "order")), pa.array([v.tobytes() for v in found], pa.binary())],
+                    names=["lang", "order", "vector"],
+                )
+
+    # Vectors have one size, whatever the texts' lengths.
+    sample = candidates.select("lang", "order", "text").mapInArrow(vectors, "lang string, order bigint, vector binary")
+    first = sample.withColumn("rank", F.row_number().over(W.partitionBy("lang").orderBy("order", "vector")))
+    sample = cut_lineage(first.where(F.col("rank") <= texts_per_language).select("lang", "order", "vector"))
 
     def learn(table: pa.Table) -> pa.Table:
-        batch = table.select(["text"]).combine_chunks().to_batches()
-        counts = [c for b in batch for _, c in _count_rows(b)]
-        vectors = np.concatenate([_vectors(c, idf).astype(np.float32) for c in counts])
-        found = cluster(vectors[np.linalg.norm(vectors, axis=1) > 0], centroids) if (np.linalg.norm(vectors, axis=1) > 0).any() else vectors[:0]
-        return pa.table({"lang": pa.array([table.column("lang")[0].as_py()] * len(found)), "centroid": pa.array([c.astype(np.float64) for c in found], pa.list_(pa.float64()))})
+        table = table.sort_by([("order", "ascending"), ("vector", "ascending")])
+        rows = np.stack([np.frombuffer(v.as_py(), np.float32) for v in table.column("vector")])
+        rows = rows[np.linalg.norm(rows, axis=1) > 0]
+        found = cluster(rows, centroids) if len(rows) else rows
+        name = table.column("lang")[0].as_py()
+        return pa.table({"lang": pa.array([name] * len(found), pa.string()), "centroid": pa.array([c.astype(np.float64) for c in found], pa.list_(pa.float64()))})
 
     learned = sample.groupBy("lang").applyInArrow(learn, "lang string, centroid array<double>").orderBy("lang", "centroid").collect()
     languages = sorted({r["lang"] for r in learned})

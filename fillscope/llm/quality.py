@@ -190,7 +190,7 @@ def fit(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Model:
 
     Null texts count as empty. Without documents all scores are one half.
     """
-    texts = docs.select(docs[text].cast("string").alias("text"), F.xxhash64(docs[key], docs[text]).alias("order"))
+    texts = docs.select(F.xxhash64(docs[key], docs[text]).alias("order"), docs[text].cast("string").alias("text"))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(PATTERNS, np.int64)
@@ -207,15 +207,20 @@ def fit(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Model:
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for _, _, data, offsets in _slices(batch):
+            for first, stop, data, offsets in _slices(batch):
                 rows = hashed_features(data, offsets).astype(np.float16)
                 goal = labels.posterior[votes(measures(data, offsets))]
-                yield pa.record_batch([pa.array([r.tobytes() for r in rows], pa.binary()), pa.array(goal)], names=["row", "goal"])
+                yield pa.record_batch(
+                    [batch.column(0).slice(first, stop - first), pa.array([r.tobytes() for r in rows], pa.binary()), pa.array(goal)],
+                    names=["order", "row", "goal"],
+                )
 
     total = int(counts.sum())
     share = min(1.0, 1.5 * TRAINING_TEXTS / max(total, 1))
     part = (F.pmod("order", F.lit(1 << 30)) / (1 << 30)).cast("double")
-    sample = texts.where(part <= share).orderBy("order", "text").limit(TRAINING_TEXTS).select("text").mapInArrow(learn, "row binary, goal double").toArrow()
+    # Rows of features have one size; texts are neither ordered nor collected.
+    chosen = texts.where(part <= share).mapInArrow(learn, "order bigint, row binary, goal double")
+    sample = chosen.orderBy("order", "row").limit(TRAINING_TEXTS).toArrow()
     weights = np.zeros((1 << FEATURE_BITS) + 1)
     if sample.num_rows:
         rows = np.stack([np.frombuffer(r.as_py(), np.float16) for r in sample.column("row")]).astype(np.float32)

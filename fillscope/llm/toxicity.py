@@ -266,10 +266,12 @@ def fit(
         scorer = Scorer(shared.value)
         for batch in batches:
             found = scorer.features(batch)
-            yield pa.record_batch([batch.column(0), *[pa.array(found[:, i]) for i in range(3)]], names=["toxic", "a", "b", "c"])
+            yield pa.record_batch([*batch.columns[:2], *[pa.array(found[:, i]) for i in range(3)]], names=["order", "toxic", "a", "b", "c"])
 
-    chosen = rows.where("_fold = 0").orderBy(F.xxhash64("_key"), "_key").limit(CALIBRATION_ROWS).select(F.col("_toxic").alias("toxic"), "text")
-    sample = chosen.mapInArrow(run, "toxic int, a double, b double, c double").toPandas()
+    # Only numbers are ordered and collected, never texts.
+    chosen = rows.where("_fold = 0").select(F.xxhash64("_key").alias("order"), F.col("_toxic").alias("toxic"), "text")
+    chosen = chosen.mapInArrow(run, "order bigint, toxic int, a double, b double, c double")
+    sample = chosen.orderBy("order", "a", "b", "c", "toxic").limit(CALIBRATION_ROWS).toPandas()
     y = sample["toxic"].to_numpy(float)
     weights = np.array([-30.0, 0, 0, 0])
     if 0 < y.sum() < len(y):
