@@ -63,7 +63,8 @@ def dropped_lines(
     ranged = lines.repartitionByRange("a", "b", "doc").sortWithinPartitions("a", "b", "doc", "text_id", "pos")
     # Stored, as it is read twice: once to find common lines, once to drop them.
     places = cut_lineage(ranged.groupBy("a", "b", "doc").agg(F.collect_set(F.struct("text_id", "pos")).alias("places")))
-    common = (
+    # Stored, so that the join below meets two plain tables and can split a hot line.
+    common = cut_lineage(
         places.groupBy("a", "b")
         .agg(F.count(F.lit(1)).alias("n"), F.max("doc").alias("last"))
         .where(F.col("n") >= min_docs)
