@@ -3,7 +3,7 @@
 Documents with one set of shingles are one set from the start. A global order of shingles
 (rare ones first, by a frequency table of fixed size) gives each set a prefix; two sets
 that reach the threshold share a shingle of their prefixes. Candidates are taken in two
-turns: first each set meets one leader of its shared shingles, and what links
+ways: first near copies meet a few leaders of their shingles, and what links
 is contracted; then all pairs of different components that share prefix shingles, enough of
 them for the threshold. Overlaps of candidates are counted by vertical partitioning: the shingle order is cut into
 fragments, a fragment's overlaps are counted on their own and summed per pair.
@@ -29,6 +29,9 @@ WORDS, PERCENT = 5, 75
 FREQUENCY_BITS = 16
 # Fragments of the shingle order for counting overlaps.
 FRAGMENT_BITS = 2
+# Sets with this share of their prefix in other sets' prefixes are taken for near copies at first;
+# so many of their shingles name leaders, and so many leaders each set meets, by turn.
+ALIKE, SKETCH, LEADERS = 0.4, 8, (1, 4, 4)
 # Bits of the filter that keeps shingles of other sets from moving; a full filter keeps none back.
 FILTER_BITS = 24
 
@@ -240,31 +243,15 @@ def near_duplicates(
     sets = members.where("set is not null").groupBy("set").agg(F.min("doc").alias("doc"))
     prefix = prefixes(texts, frequencies(texts, words), words, percent)
     # Shingles that one set alone holds link nothing; most go here.
-    held = prefix.groupBy("shingle", "set").agg(F.max("n").alias("n"))
+    # One shuffle by shingle serves the distinct rows and the window.
+    held = prefix.repartition("shingle").groupBy("shingle", "set").agg(F.max("n").alias("n"))
     by_shingle = W.partitionBy("shingle")
     postings = cut_lineage(
-        held.repartition("shingle")
-        .withColumns({"leader": F.min("set").over(by_shingle), "last": F.max("set").over(by_shingle)})
+        held.withColumns({"leader": F.min("set").over(by_shingle), "last": F.max("set").over(by_shingle)})
         .where("leader != last")
-        .drop("last")
+        .select("shingle", "set", "n")
     )
-    sizes = postings.select("set", "n").distinct()
-
-    # Each set meets the leader with which it shares most shingles.
-    prefix_size = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1
-    led = (
-        postings.where("set != leader")
-        .groupBy("set", "n", "leader")
-        .agg(F.count(F.lit(1)).alias("both"))
-        .where(F.col("both") * 4 >= prefix_size)
-        .groupBy("set", "n")
-        .agg(F.max(F.struct("both", "leader")).alias("best"))
-        .select(F.col("set").alias("a"), F.col("n").alias("na"), F.col("best.leader").alias("b"))
-    )
-    first = led.join(sizes.select(F.col("set").alias("b"), F.col("n").alias("nb")), "b").where(_possible("na", "nb", percent))
-    first = cut_lineage(first.select("a", "b", "na", "nb"))
-    found = cut_lineage(_linked(texts, sets, first, words, percent))
-    labels = components(found)
+    found, labels = _star_links(texts, sets, postings, words, percent)
 
     # All pairs of different components that share prefix shingles.
     named = postings.join(labels.withColumnsRenamed({"node": "set", "component": "c"}), "set", "left").select(
@@ -285,10 +272,20 @@ def near_duplicates(
         .agg(F.count(F.lit(1)).alias("both"))
         # What the prefixes share, and all that is left of one set behind its prefix.
         .where((F.col("both") + spare) * (100 + percent) >= (F.col("na") + F.col("nb")) * percent)
-        .select("a", "b", "na", "nb")
     )
     second = cut_lineage(second)
-    more = cut_lineage(_linked(texts, sets, second, words, percent))
+    # The partner with most in common comes first, on either side; who links with it needs no other
+    # partner in that component. Then all pairs of what are still different components.
+    whole = F.struct("both", "a", "b", "na", "nb")
+    best = [second.groupBy(side).agg(F.max(whole).alias("best")).select("best.a", "best.b", "best.na", "best.nb") for side in ("a", "b")]
+    nearest = cut_lineage(best[0].union(best[1]).distinct())
+    found = found.union(cut_lineage(_linked(texts, sets, nearest, words, percent)))
+    labels = components(found)
+    sides = [labels.select(F.col("node").alias(s), F.col("component").alias("c" + s)) for s in ("a", "b")]
+    apart = F.coalesce("ca", "a") != F.coalesce("cb", "b")
+    rest = second.join(sides[0], "a", "left").join(sides[1], "b", "left").where(apart).select("a", "b", "na", "nb")
+    rest = cut_lineage(rest.join(nearest.select("a", "b"), ["a", "b"], "left_anti"))
+    more = cut_lineage(_linked(texts, sets, rest, words, percent))
     labels = components(found.union(more))
 
     named_sets = sets.join(labels.withColumnsRenamed({"node": "set", "component": "c"}), "set", "left").select(
@@ -301,6 +298,54 @@ def near_duplicates(
     )
 
 
+def _star_links(texts: DataFrame, sets: DataFrame, postings: DataFrame, words: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Links of sets to leaders, and the components they make.
+
+    This spares the pairs within groups of near copies: sets with mostly shared prefixes meet a
+    few leaders of some of their shingles (those first in hash order), in turns with
+    other leaders for what has not linked yet. What is missed here is found afterwards.
+    """
+    alike = (
+        postings.groupBy("set", "n")
+        .agg(F.count(F.lit(1)).alias("rows"))
+        .where(F.col("rows") >= ALIKE * (F.col("n") - F.ceil(F.col("n") * percent / 100) + 1))
+        .select("set")
+    )
+    alike = cut_lineage(sets.join(alike, "set"))
+    order = W.partitionBy("set").orderBy(F.xxhash64("shingle"))
+    some = postings.join(alike.select("set"), "set", "left_semi").withColumn("k", F.row_number().over(order))
+    some = cut_lineage(some.where(F.col("k") <= SKETCH).select("shingle", "set", "n"))
+    parts = cut_lineage(fragments(texts, alike, words))
+    found = labels = None
+    for turn, leaders in enumerate(LEADERS):
+        named = some.withColumn("c", F.col("set"))
+        if labels is not None:
+            known = labels.withColumnsRenamed({"node": "set", "component": "c"})
+            named = some.join(known, "set", "left").withColumn("c", F.coalesce("c", "set"))
+        ranks = [F.xxhash64("set", F.lit(100 * turn + k)) for k in range(leaders)]
+        chosen = (
+            named.groupBy("shingle")
+            .agg(F.array(*[F.min(F.struct(r.alias("r"), "set", "n", "c")) for r in ranks]).alias("led"), F.min("c").alias("low"), F.max("c").alias("high"))
+            .where("low != high")
+            .select("shingle", F.posexplode("led").alias("k", "leader"))
+        )
+        pairs = (
+            named.join(chosen, "shingle")
+            .select(F.col("set").alias("a"), F.col("n").alias("na"), "c", "k", F.col("leader.set").alias("b"), F.col("leader.n").alias("nb"), F.col("leader.c").alias("cb"))
+            .where((F.col("c") != F.col("cb")) & _possible("na", "nb", percent))
+            .groupBy("a", "na", "k", "b", "nb")
+            .agg(F.count(F.lit(1)).alias("both"))
+            .groupBy("a", "na", "k")
+            .agg(F.max(F.struct("both", "b", "nb")).alias("best"))
+            .select("a", F.col("best.b").alias("b"), "na", F.col("best.nb").alias("nb"))
+            .distinct()
+        )
+        fresh = cut_lineage(links(pairs, parts, percent))
+        found = fresh if found is None else found.union(fresh)
+        labels = components(found)
+    return found, labels
+
+
 def _linked(texts: DataFrame, sets: DataFrame, pairs: DataFrame, words: int, percent: int) -> DataFrame:
     wanted = sets.join(pairs.select(F.col("a").alias("set")).union(pairs.select("b")).distinct(), "set", "left_semi")
     return links(pairs, fragments(texts, cut_lineage(wanted), words), percent)
