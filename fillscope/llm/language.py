@@ -54,11 +54,11 @@ def ngram_counts(data: np.ndarray, offsets: np.ndarray) -> Iterator[np.ndarray]:
         key = np.full(len(folded) - n + 1 if len(folded) >= n else 0, n, np.uint64)
         for k in range(n):
             key = key * np.uint64(257) + folded[k : k + len(key)]
-        places.append((mix(key) >> np.uint64(64 - PLACES_BITS)).astype(np.int64))
+        places.append((mix(key) >> np.uint64(64 - PLACES_BITS)).astype(np.int32))
         whole = ~space if n == 1 else np.ones(len(key), bool)
         for k in range(n - 1):
             whole &= ~(space[k : k + len(key)] & space[k + 1 : k + 1 + len(key)])
-        counted.append(whole.astype(np.float64))
+        counted.append(whole)
     for a, b in zip(offsets[:-1], offsets[1:]):
         total = np.zeros(1 << PLACES_BITS)
         for n, place, whole in zip(SIZES, places, counted):
@@ -74,12 +74,12 @@ def _vectors(counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
 
 
 def _count_rows(texts: pa.RecordBatch, column: str = "text") -> Iterator[tuple[int, np.ndarray]]:
-    """Runs of rows with their count vectors, at most 512 at once."""
+    """Runs of rows with their count vectors, at most 128 at once."""
     for first, _, data, offsets in text_slices(texts, column):
         held, start = [], first
         for row, counts in enumerate(ngram_counts(data, offsets), first):
             held.append(counts)
-            if len(held) == 512:
+            if len(held) == 128:
                 yield start, np.stack(held)
                 held, start = [], row + 1
         if held:

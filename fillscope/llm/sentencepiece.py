@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 
 SPACE = "▁"
 # Parts kept with their encoding per worker, and the longest part that is kept.
-KEPT_PARTS, KEPT_CHARS = 800_000, 48
+KEPT_PARTS, KEPT_CHARS = 250_000, 32
 # A text that a normaliser other than the identity would change.
 PROBE = "  ﬁ ①  Ａ　x\tq\n\r é "
 
@@ -69,7 +69,7 @@ class Encoder:
             self.automaton.add_word(piece, piece)
         self.automaton.add_word(SPACE, SPACE)
         self.automaton.make_automaton()
-        self.compatible = lru_cache(maxsize=1 << 19)(self._compatible)
+        self.compatible = lru_cache(maxsize=1 << 17)(self._compatible)
         self.run = lru_cache(maxsize=4096)(self._merge)
         self.kept: dict[str, tuple[str, int, bytes]] = {}
 
@@ -221,7 +221,7 @@ class Encoder:
         return raw.decode("utf-8", "replace")
 
 
-@lru_cache(maxsize=2)
+@lru_cache(maxsize=1)
 def encoder(model: bytes) -> Encoder:
     """One encoder per worker and model."""
     return Encoder(model)

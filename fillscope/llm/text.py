@@ -17,7 +17,7 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 # Everything that is not part of a word of letters and digits; all of U+0080 and above is.
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 # Documents of a batch are handled together up to about so many bytes of text.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 
 
 def ascii_lower(text: Column) -> Column:

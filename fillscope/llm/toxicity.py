@@ -61,9 +61,9 @@ def pack(tables: Tables) -> bytes:
 
 
 def unpack(packed: bytes) -> Tables:
-    raw = np.frombuffer(zlib.decompress(packed), np.float16).astype(np.float32)
-    counts = np.expm1(raw)
-    counts = np.where(counts < 256, np.rint(counts), counts)
+    counts = np.frombuffer(zlib.decompress(packed), np.float16).astype(np.float32)
+    np.expm1(counts, out=counts)
+    np.rint(counts, out=counts, where=counts < 256)
     return Tables(*counts.reshape(3, ORDER - 1, 2, 1 << BUCKET_BITS))
 
 
