@@ -8,6 +8,7 @@ No stage can be expressed in SQL as a whole, so the tests compare with brute for
 from __future__ import annotations
 
 import public_tokenizers
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,14 +33,26 @@ def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return found.withColumns(text).withColumns(count).select(docs.columns)
 
 
+def row_names(docs: DataFrame, name: str) -> DataFrame:
+    """Add a column that names each row, the same whenever the rows are read again.
+
+    Rows of stored files are named by file and place; other rows are numbered and stored.
+    """
+    try:
+        return docs.withColumn(name, F.struct("_metadata.file_path", "_metadata.row_index"))
+    except AnalysisException:
+        return cut_lineage(docs.withColumn(name, F.monotonically_increasing_id()))
+
+
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group; documents without words all stay.
+    """One row of each group; documents without words all stay.
 
-    Rows without an id stay unless they belong to a group with ids.
+    The row with the smallest id stays, rows without an id come last. Rows are told apart by their place,
+    not by their id: unrelated rows that share an id or have none stay, repeated rows are a group.
     """
-    classes = jaccard.near_duplicates(docs)
-    gone = classes.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, docs["doc_id"].eqNullSafe(F.col("_gone")), "left_anti").select(docs.columns)
+    named = row_names(docs, "_row")
+    gone = jaccard.surplus_rows(named, "_row")
+    return named.join(gone, "_row", "left_anti").select(docs.columns)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -69,22 +69,24 @@ def needed(n: int, percent: int) -> int:
     return -(-percent * n // 100)
 
 
-def _texts(docs: DataFrame, key: str, text: str) -> DataFrame:
-    return docs.select(docs[key].cast("long").alias("doc"), docs[text].cast("string").alias("text"))
+def _texts(docs: DataFrame, key: str, text: str, row: str | None = None) -> DataFrame:
+    more = [] if row is None else [docs[row].alias("row")]
+    return docs.select(docs[key].cast("long").alias("doc"), docs[text].cast("string").alias("text"), *more)
 
 
 def document_sets(texts: DataFrame, words: int) -> DataFrame:
-    """One row per document: doc, n, set (null for an empty set)."""
+    """One row per document: doc, n, set (null for an empty set), and row if ``texts`` has it."""
+    more = [f"row {texts.schema['row'].dataType.simpleString()}"] if "row" in texts.columns else []
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [(len(s), set_id(s) if len(s) else None) for _, s in shingle_sets(batch, words)]
             yield pa.record_batch(
-                [batch.column(0), pa.array([n for n, _ in found], pa.int64()), pa.array([s for _, s in found], pa.int64())],
-                names=["doc", "n", "set"],
+                [batch.column(0), pa.array([n for n, _ in found], pa.int64()), pa.array([s for _, s in found], pa.int64()), *batch.columns[2:]],
+                names=["doc", "n", "set", *batch.schema.names[2:]],
             )
 
-    return texts.mapInArrow(run, "doc bigint, n bigint, set bigint")
+    return texts.mapInArrow(run, ", ".join(["doc bigint, n bigint, set bigint", *more]))
 
 
 def _bucket(shingles: np.ndarray) -> np.ndarray:
@@ -238,7 +240,32 @@ def near_duplicates(
     component. Repeated rows give a row each. Rows with a null key belong to their component; if
     all its keys are null, component_id is null. Shingles and sets are named by 64-bit hashes.
     """
-    texts = _texts(docs, key, text)
+    members, named_sets = _grouped(_texts(docs, key, text), words, percent)
+    smallest = named_sets.groupBy("c").agg(F.min("doc").alias("component"))
+    classes = named_sets.join(smallest, "c").select("set", "component")
+    return members.join(classes, "set", "left").select(
+        F.col("doc").alias(key), F.col("n").alias("n_shingles"), F.when(F.col("set").isNull(), F.col("doc")).otherwise(F.col("component")).alias("component_id")
+    )
+
+
+def surplus_rows(
+    docs: DataFrame, row: str, key: str = "doc_id", text: str = "text", words: int = WORDS, percent: int = PERCENT
+) -> DataFrame:
+    """The values of column ``row``, one per row of ``docs``, of all rows but one of each component.
+
+    Components are those of ``near_duplicates``; the row with the smallest key stays, rows without
+    a key come last, of equal keys the smallest ``row`` stays. Rows without shingles are never surplus.
+    """
+    members, named_sets = _grouped(_texts(docs, key, text, row), words, percent)
+    # Copies are brought to one row per set before the join, so that no large group is one key.
+    first = F.min(F.struct(F.col("doc").isNull().alias("nameless"), "doc", "row")).alias("first")
+    held = members.where("set is not null")
+    stays = held.groupBy("set").agg(first).join(named_sets.select("set", "c"), "set").groupBy("c").agg(F.min("first").alias("first"))
+    return held.select("row").join(stays.select("first.row"), "row", "left_anti").withColumnRenamed("row", row)
+
+
+def _grouped(texts: DataFrame, words: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Rows (doc, n, set, and row if given) of the documents, and (set, doc, c) of the sets: smallest document, component."""
     members = cut_lineage(document_sets(texts, words))
     sets = members.where("set is not null").groupBy("set").agg(F.min("doc").alias("doc"))
     prefix = prefixes(texts, frequencies(texts, words), words, percent)
@@ -291,11 +318,7 @@ def near_duplicates(
     named_sets = sets.join(labels.withColumnsRenamed({"node": "set", "component": "c"}), "set", "left").select(
         "set", "doc", F.coalesce("c", "set").alias("c")
     )
-    smallest = named_sets.groupBy("c").agg(F.min("doc").alias("component"))
-    classes = named_sets.join(smallest, "c").select("set", "component")
-    return members.join(classes, "set", "left").select(
-        F.col("doc").alias(key), F.col("n").alias("n_shingles"), F.when(F.col("set").isNull(), F.col("doc")).otherwise(F.col("component")).alias("component_id")
-    )
+    return members, named_sets
 
 
 def _star_links(texts: DataFrame, sets: DataFrame, postings: DataFrame, words: int, percent: int) -> tuple[DataFrame, DataFrame]:

@@ -65,3 +65,40 @@ def test_tokens(stages):
     other = library.SentencePieceProcessor(model_file=public_tokenizers.path(corpus_pipeline.MODEL))
     expected = [(d, len(i), i, other.decode(i)) for d, t in _pairs(docs) for i in [other.encode(t)]]
     assert ordered(out.collect()) == ordered(expected)
+
+
+COPY = " ".join(f"copy{i}" for i in range(60))
+# (id, text) and whether the row stays.
+GROUPS = [
+    ((1, COPY), True),
+    ((None, COPY + " more"), False),
+    ((None, "an unrelated text without an id that nothing else resembles"), True),
+    ((None, None), True),
+    ((None, ""), True),
+    ((2, COPY + " other"), False),
+    ((2, "a clean text under an id used twice, which must not be lost"), True),
+    ((3, "a row that is in the table twice, of which one must stay"), True),
+    ((3, "a row that is in the table twice, of which one must stay"), False),
+    ((None, "copies which have no id at all, of which one must stay too"), True),
+    ((None, "copies which have no id at all, of which one must stay too"), False),
+]
+
+
+@pytest.mark.parametrize("stored", [False, True])
+def test_near_duplicates_are_told_apart_by_row(spark, folder, stored):
+    docs = spark.createDataFrame([r for r, _ in GROUPS], "doc_id long, text string").repartition(3)
+    out = corpus_pipeline.drop_near_duplicates(spark, cut_lineage(docs) if stored else docs, folder)
+    assert ordered(_pairs(out)) == ordered(r for r, stays in GROUPS if stays)
+
+
+def test_all_stages_on_awkward_documents(spark, folder):
+    docs = cut_lineage(brute.edge_documents(spark))
+    for name, stage in corpus_pipeline.STAGES:
+        out = cut_lineage(stage(spark, docs, folder))
+        if stage is corpus_pipeline.drop_near_duplicates:
+            groups = brute.near_duplicates([(i, t) for i, (_, t) in enumerate(_pairs(docs))])
+            wordless = sum(n == 0 for _, n, _ in groups)
+            assert out.count() == wordless + len({c for _, n, c in groups if n})
+        elif stage is not corpus_pipeline.drop_toxic and stage is not corpus_pipeline.drop_contaminated:
+            assert out.count() == docs.count(), name
+        docs = out
