@@ -220,6 +220,28 @@ def test_toxic_words_and_their_forms_are_found(spark):
 # Language
 
 
+@pytest.mark.parametrize("case", ["no toxic row in the fold", "toxic rows in the fold alone", "toxic rows late in the fold"])
+def test_few_toxic_labels_are_learned(spark, monkeypatch, case):
+    monkeypatch.setattr(toxicity, "CALIBRATION_ROWS", 8)
+    draw = random.Random(6)
+    plain = ["".join(draw.choice("abcdefgh") for _ in range(6)) for _ in range(50)]
+    numbers = spark.range(4000).select("id", (F.pmod(F.xxhash64("id"), F.lit(toxicity.CALIBRATION_FOLDS)) == 0).alias("fold"))
+    numbers = numbers.orderBy(F.xxhash64("id"), "id").collect()
+    inside, outside = [r.id for r in numbers if r.fold], [r.id for r in numbers if not r.fold]
+    toxic = {"no toxic row in the fold": outside[:6], "toxic rows in the fold alone": inside[:4], "toxic rows late in the fold": inside[100:103] + outside[:6]}[case]
+
+    def words(kind: str) -> str:
+        return " ".join([draw.choice(plain) for _ in range(40)] + [kind] * 6)
+
+    ids = [*inside[:100], *outside[:100], *toxic]
+    docs = [(i, words("zyxwvut" if i in toxic else "abcabc"), int(i in toxic)) for i in dict.fromkeys(ids)]
+    train = spark.createDataFrame(docs, "doc_id long, text string, toxic int")
+    model = toxicity.fit(train.select("doc_id", "text"), train.select("doc_id", "toxic"), F.lit(True))
+    fresh = [(i, words("zyxwvut" if i < 20 else "abcabc")) for i in range(40)]
+    found = {r.doc_id: r.toxicity for r in toxicity.score(spark.createDataFrame(fresh, "doc_id long, text string"), model).collect()}
+    assert min(found[i] for i in range(20)) > max(found[i] for i in range(20, 40)) + 0.1
+
+
 def test_language_of_awkward_documents(spark, edge):
     model = language.fit(edge, F.lit(True))
     assert model.languages == ["xx"]
