@@ -1,8 +1,9 @@
 """Line dedup: lines that many documents share stay in one document only.
 
-Only hashes move. Lines of documents are range-partitioned by (hash, document) and sorted by
-document and position, so that a line which a third of all documents holds is spread over
-many tasks; each task streams its sorted rows, one group per line and document. The result is one bitmap of kept
+Only hashes move. Lines of documents are range-partitioned by (hash, document), so that the places of
+a line which a third of all documents holds are collected in many tasks, one group per line and document.
+Common lines are found by a pre-aggregated count and largest document per line, and joined back; the order
+of the ranges decides nothing. The result is one bitmap of dropped
 lines per document; texts never move for the search.
 """
 
