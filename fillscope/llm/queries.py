@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, jaccard, language, licenses, lines, quality, sentencepiece, sharding, topk, toxicity
+from . import decontaminate, jaccard, language, licenses, lines, quality, sentencepiece, sharding, topk, toxicity, vector_codes
 
 MODEL = "piece_bpe_32k.model"
 
@@ -107,6 +107,18 @@ def op10_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.assign_shards(table(spark, folder, "documents"))
 
 
+def vector_code_rows(vectors: DataFrame) -> DataFrame:
+    """Codes, errors and the digest of the codebooks, for every row with a finite vector."""
+    kept = vector_codes.kept_vectors(vectors)
+    books = vector_codes.fit(kept)
+    coded = vector_codes.with_label_error(vector_codes.encode(kept, books))
+    return coded.select("vec_id", "code", "error", "label_error", F.lit(books.sha256).alias("codebooks_sha256"))
+
+
+def op13_vector_codes(spark: SparkSession, folder: str) -> DataFrame:
+    return vector_code_rows(table(spark, folder, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -120,5 +132,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_quality,
         op9_exact_top_k,
         op10_sharding,
+        op13_vector_codes,
     )
 }

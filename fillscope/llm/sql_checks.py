@@ -132,6 +132,41 @@ def _sharding() -> str:
     FROM docs JOIN chosen USING (r) JOIN buckets b USING (depth) WHERE b.prefix = h >> ({bits} - depth)"""
 
 
+def _vector_codes() -> str:
+    """Two rounds written out; every entry is compared, the lowest distance and then number wins."""
+
+    def assigned(books: str) -> str:
+        distance = "list_aggregate(list_transform(list_zip(v, e), lambda z: (z[1] - z[2]) * (z[1] - z[2])), 'sum')::HUGEINT"
+        return f"""
+        SELECT r, p, v, (low % 1000)::INTEGER AS n, low // 1000 AS distance FROM (
+            SELECT r, p, any_value(v) AS v, min({distance} * 1000 + n) AS low FROM parts JOIN {books} USING (p) GROUP BY r, p)"""
+
+    def refined(given: str, books: str) -> str:
+        return f"""
+        SELECT p, n, coalesce(means.e, {books}.e) AS e FROM {books} LEFT JOIN (
+            SELECT p, n, list((total - ((total % size) + size) % size) // size ORDER BY i) AS e FROM (
+                SELECT p, n, i, sum(v[i])::HUGEINT AS total, count(*)::HUGEINT AS size
+                FROM (SELECT p, n, v, unnest(range(1, len(v) + 1)) AS i FROM {given}) GROUP BY ALL) GROUP BY p, n) means USING (p, n)"""
+
+    return f"""
+    WITH kept AS MATERIALIZED (
+        SELECT row_number() OVER (ORDER BY vec_id NULLS LAST, embedding) - 1 AS r, vec_id, label,
+            list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS whole, len(embedding) // 16 AS w
+        FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    parts AS MATERIALIZED (SELECT r, p, whole[p * w + 1 : (p + 1) * w] AS v FROM (SELECT *, unnest(range(16)) AS p FROM kept)),
+    books0 AS MATERIALIZED (SELECT p, r AS n, v AS e FROM parts WHERE r < 64),
+    given0 AS MATERIALIZED ({assigned("books0")}),
+    books1 AS MATERIALIZED ({refined("given0", "books0")}),
+    given1 AS MATERIALIZED ({assigned("books1")}),
+    books2 AS MATERIALIZED ({refined("given1", "books1")}),
+    given2 AS MATERIALIZED ({assigned("books2")}),
+    coded AS (
+        SELECT r, string_agg(lpad(lower(hex(n)), 2, '0'), '' ORDER BY p) AS code, sum(distance)::BIGINT AS error FROM given2 GROUP BY r),
+    digest AS (SELECT sha256(string_agg(array_to_string(e, ','), ',' ORDER BY p, n)) AS codebooks_sha256 FROM books2)
+    SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, codebooks_sha256
+    FROM kept JOIN coded USING (r), digest"""
+
+
 SQL: dict[str, str] = {
     "op1_license_scan": _license_scan(),
     "op3_line_dedup": _line_dedup(),
@@ -139,4 +174,5 @@ SQL: dict[str, str] = {
     "op5_decontaminate": _decontaminate(),
     "op9_exact_top_k": _top_k(),
     "op10_sharding": _sharding(),
+    "op13_vector_codes": _vector_codes(),
 }
