@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from . import (
     decontaminate,
+    html_text,
     jaccard,
     language,
     licenses,
@@ -129,6 +130,11 @@ def op11_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
     return prefix_trie_nodes(table(spark, folder, "conversations"))
 
 
+def op12_html_text(spark: SparkSession, folder: str) -> DataFrame:
+    found = html_text.extract(table(spark, folder, "pages").select("page_id", "url", "html"))
+    return found.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
+
+
 def vector_code_rows(vectors: DataFrame) -> DataFrame:
     """Codes, errors and the digest of the codebooks, for every row with a finite vector."""
     kept = vector_codes.kept_vectors(vectors)
@@ -155,6 +161,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_exact_top_k,
         op10_sharding,
         op11_prefix_trie,
+        op12_html_text,
         op13_vector_codes,
     )
 }
