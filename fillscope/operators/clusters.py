@@ -3,57 +3,100 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from concurrent.futures import ThreadPoolExecutor
 
-from pyspark import inheritable_thread_target
-from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from fillscope.functions.numeric import half_even
+from fillscope.operators import kmeans
 from fillscope.operators.features import NUMERIC_FEATURES
 from fillscope.operators.quantiles import exact_medians
+from fillscope.scale import cut_lineage
 from fillscope.schemas import BUYS_ONLY
 
 CLUSTERS = 7
 FIRST_SEED = 42
 STARTS = 20
-# Movement of a center below which a fit has converged: the square root of 1e-4
+# Movement of the centres below which a start rests: the square root of 1e-4
 # times the mean variance of standardized features next to six flags.
 TOLERANCE = 0.0075
 
 
 def fit_kmeans(
-    vectors: DataFrame,
-    k: int = CLUSTERS,
-    starts: int = STARTS,
-    seed: int = FIRST_SEED,
-    parallelism: int = 8,
-) -> KMeansModel:
-    """The model of least cost over several seeds.
-
-    Fits are independent Spark jobs, submitted from a few driver threads. The input
-    is scanned many times and should be stored or cached.
-    """
+    vectors: DataFrame, k: int = CLUSTERS, starts: int = STARTS, seed: int = FIRST_SEED
+) -> kmeans.Clustering | None:
+    """The clustering of least cost over several starts, which share their passes over the rows."""
+    return kmeans.fit(kmeans.stored_rows(vectors), k, starts, seed, TOLERANCE)
+
+
+def kmeans_clusters(vectors: DataFrame, k: int = CLUSTERS, starts: int = STARTS, seed: int = FIRST_SEED) -> DataFrame:
+    """Cluster labels from the best fit."""
+    rows = kmeans.stored_rows(vectors)
+    return kmeans.assign(rows, kmeans.fit(rows, k, starts, seed, TOLERANCE))
 
-    def fit(current: int) -> KMeansModel:
-        return KMeans(k=k, seed=current, initSteps=2, maxIter=300, tol=TOLERANCE).fit(vectors)
 
-    # Wrapped once per call: the wrapper hands over the caller's local properties.
-    task = inheritable_thread_target(vectors.sparkSession)(fit)
-    with ThreadPoolExecutor(max_workers=parallelism) as pool:
-        models = list(pool.map(task, range(seed, seed + starts)))
-    return min(models, key=lambda model: model.summary.trainingCost)
+def check_clusters(vectors: DataFrame, k: int = CLUSTERS, starts: int = STARTS, seed: int = FIRST_SEED) -> DataFrame:
+    """Properties of a fit, found again with column expressions: one row.
 
+    ``not_nearest``: rows with a centre nearer than their own; ``off_mean``: clusters whose centre and mean are further
+    apart than the tolerance; ``cheaper_starts``: starts that ended below the cost of the labelled rows.
+    """
+    rows = kmeans.stored_rows(vectors)
+    fitted = kmeans.fit(rows, k, starts, seed, TOLERANCE)
+    if fitted is None:
+        raise ValueError("no rows to fit")
+    place = F.transform("place", lambda x: x / F.lit(float(kmeans.GRID)))
+
+    def distance(centre: list[float], point: Column) -> Column:
+        gaps = F.zip_with(point, F.array(*map(F.lit, centre)), lambda x, c: (x - c) * (x - c))
+        return F.aggregate(gaps, F.lit(0.0), lambda total, gap: total + gap)
+
+    labels = kmeans.assign(rows, fitted).join(rows, "trader")
+    measured = labels.withColumn("distances", F.array(*[distance(c, place) for c in fitted.centres]))
+    own = F.get("distances", F.col("kmeans_cluster"))
+    width = len(fitted.centres[0])
+    per_cluster = measured.groupBy("kmeans_cluster").agg(
+        F.count("kmeans_cluster").alias("n"),
+        F.count_if(own > F.array_min("distances") + 1e-9).alias("not_nearest"),
+        F.sum(own).alias("cost"),
+        F.array(*[F.avg(F.get(place, F.lit(j))) for j in range(width)]).alias("mean"),
+    )
+    to_mean = F.get(F.array(*[distance(c, F.col("mean")) for c in fitted.centres]), F.col("kmeans_cluster"))
+    # A start's cost is the sum over all rows of distances rounded to the grid.
+    slack = F.sum("n") / float(kmeans.GRID) + 1e-6
+    cheaper = [(F.lit(cost) + slack < F.sum("cost")).cast("long") for cost in fitted.costs]
+    return per_cluster.agg(
+        F.sum("n").alias("labelled"),
+        F.count("kmeans_cluster").alias("clusters"),
+        F.sum("not_nearest").alias("not_nearest"),
+        F.count_if(to_mean > TOLERANCE**2).alias("off_mean"),
+        sum(cheaper[1:], cheaper[0]).alias("cheaper_starts"),
+    )
 
-def kmeans_clusters(vectors: DataFrame, **settings) -> DataFrame:
-    """Cluster labels from the best fit; ``vectors`` is read many times, dealt by trader."""
-    stored = vectors.repartition("trader").persist()
-    try:
-        model = fit_kmeans(stored, **settings)
-    finally:
-        stored.unpersist()
-    return model.transform(vectors).select("trader", F.col("prediction").alias("kmeans_cluster"))
+
+def check_report(labelled: DataFrame, cluster: str = "cluster") -> DataFrame:
+    """Per feature what the report's clusters add up to: traders, weighted mean, and whether medians fit.
+
+    ``medians_split``: in every cluster at least half of the traders are at or below the median, and at or above it.
+    """
+    report = cut_lineage(cluster_report(labelled, cluster))
+    long = _unpivot(labelled, [cluster], NUMERIC_FEATURES).filter(F.col("value").isNotNull())
+    placed = long.join(report, [cluster, "feature"])
+    sides = placed.groupBy(cluster, "feature").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.max("mean").alias("mean"),
+        F.max("global_mean").alias("global_mean"),
+        F.count_if(F.col("value") <= F.col("median")).alias("below"),
+        F.count_if(F.col("value") >= F.col("median")).alias("above"),
+    )
+    split = (F.col("below") * 2 >= F.col("n")) & (F.col("above") * 2 >= F.col("n"))
+    return sides.groupBy("feature").agg(
+        F.sum("n").alias("traders"),
+        half_even(F.sum(F.col("mean") * F.col("n")) / F.sum("n"), 6).alias("weighted_mean"),
+        half_even(F.max("global_mean"), 6).alias("global_mean"),
+        F.bool_and(split).alias("medians_split"),
+    )
 
 
 def _unpivot(df: DataFrame, keys: Sequence[str], features: Sequence[str]) -> DataFrame:

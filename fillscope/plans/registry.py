@@ -25,6 +25,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 RATE, MIN_TRADES, USER, FIXED_CLUSTERS = 5, 20, "0xC00000042", 7
 PLOT = {"max_points": 1000, "x_field": "avg_odds", "y_field": "win_rate"}
+PLOT_MODE = {**PLOT, "category": "Crypto", "min_trades": MIN_TRADES, "include_sales": True}
 
 QUERIES: dict[str, Query] = {}
 
@@ -330,13 +331,9 @@ def feature_projection(t: SampleTables) -> DataFrame:
 
 @query
 def kmeans_check(t: SampleTables) -> DataFrame:
-    """What SQL knows of fitted labels: every trader has one, and all are used."""
+    """What holds for a fit whatever its labels: nearest centres, centres at their means, least cost."""
     vectors = features.feature_vectors(features.scaled_features(cut_lineage(_updated(t))))
-    return clusters.kmeans_clusters(cut_lineage(vectors)).agg(
-        F.count("kmeans_cluster").alias("labelled"),
-        F.countDistinct("kmeans_cluster").alias("clusters"),
-        (F.max("kmeans_cluster") + 1).cast("long").alias("largest_label_plus_one"),
-    )
+    return clusters.check_clusters(cut_lineage(vectors))
 
 
 @query
@@ -351,21 +348,67 @@ def projection_check(t: SampleTables) -> DataFrame:
     )
 
 
-def _clustered_traders(t: SampleTables) -> DataFrame:
-    """Metrics, category flags, fitted label and place of every trader."""
+def _fitted(t: SampleTables) -> tuple[DataFrame, DataFrame]:
+    """Updated metrics, and the fitted label and place of every trader, both stored."""
     updated = cut_lineage(_updated(t))
     vectors = cut_lineage(features.feature_vectors(features.scaled_features(updated)))
-    labels, places = clusters.kmeans_clusters(vectors), features.project(vectors)
-    joined = categories.with_one_hot(updated).join(labels, "trader", "left").join(places, "trader", "left")
+    placed = clusters.kmeans_clusters(vectors).join(features.project(vectors), "trader", "full")
+    return updated, cut_lineage(placed)
+
+
+def _clustered_traders(t: SampleTables) -> DataFrame:
+    """Metrics, category flags, fitted label and place of every trader."""
+    updated, placed = _fitted(t)
+    joined = categories.with_one_hot(updated).join(placed, "trader", "left")
     return joined.select(schemas.CLUSTERED_TRADERS.fieldNames())
 
 
+def _as_presence(df: DataFrame) -> DataFrame:
+    """Label and place, which a fit decides, as whether they are there."""
+    label = F.col("kmeans_cluster").between(0, clusters.CLUSTERS - 1)
+    place = F.col("proj_1").isNotNull() & F.col("proj_2").isNotNull()
+    return df.select("*", F.coalesce(label, F.lit(False)).alias("labelled"), place.alias("placed")).drop("kmeans_cluster", "proj_1", "proj_2")
+
+
 @query
 def clustered_traders(t: SampleTables) -> DataFrame:
-    """The clustered traders; label and place, which a fit decides, as whether they are there."""
-    return _clustered_traders(t).select(
-        "*", F.col("kmeans_cluster").isNotNull().alias("labelled"), (F.col("proj_1").isNotNull() & F.col("proj_2").isNotNull()).alias("placed")
-    ).drop("kmeans_cluster", "proj_1", "proj_2")
+    return _as_presence(_clustered_traders(t))
+
+
+@query
+def refresh_fitted_clusters(t: SampleTables) -> DataFrame:
+    """Fresh metrics with the fitted labels of an earlier run, whose addresses are in capitals."""
+    updated, placed = _fitted(t)
+    earlier = categories.with_one_hot(updated).join(placed, "trader", "left").withColumn("trader", F.upper("trader"))
+    return _as_presence(categories.refresh_clusters(updated, earlier))
+
+
+@query
+def fitted_report_check(t: SampleTables) -> DataFrame:
+    """What the report over fitted labels adds up to, per feature."""
+    updated, placed = _fitted(t)
+    return clusters.check_report(cut_lineage(updated.join(placed, "trader")), "kmeans_cluster")
+
+
+@query
+def fitted_legend_check(t: SampleTables) -> DataFrame:
+    """What the legend over fitted labels adds up to: traders, clusters, names, and the ends of its ranks."""
+    updated, placed = _fitted(t)
+    legend = clusters.cluster_legend(cut_lineage(updated.join(placed, "trader")), "kmeans_cluster")
+    ranks = [f"rank_{short}" for short in clusters.LEGEND_MEASURES]
+    return legend.agg(
+        F.sum("n").alias("traders"),
+        F.count("kmeans_cluster").alias("clusters"),
+        F.count_if(F.col("name").isin(*clusters.ARCHETYPES)).alias("named"),
+        F.least(*map(F.min, ranks)).alias("lowest_rank"),
+        F.greatest(*map(F.max, ranks)).alias("highest_rank"),
+    )
+
+
+@query
+def fitted_viz_rows(t: SampleTables) -> DataFrame:
+    """Plot rows of clustered traders; the category comes back from the flags."""
+    return _as_presence(points.plot_rows(_clustered_traders(t))).select("trader", "category", *schemas.FLAG_COLUMNS, "labelled", "placed")
 
 
 @query
@@ -418,6 +461,18 @@ def viz_points(t: SampleTables) -> DataFrame:
     return _rounded(kept.select("trader", "category", "part", "radius"), ["radius"])
 
 
+@query
+def viz_points_of_category(t: SampleTables) -> DataFrame:
+    """The plot's other modes: one category, more trades, sales included."""
+    kept = points.thin_points(cut_lineage(_plot_rows(t)), **PLOT_MODE)
+    return _rounded(kept.select("trader", "category", "part", "radius"), ["radius"])
+
+
+@query
+def axis_profile_with_sales(t: SampleTables) -> DataFrame:
+    return _rounded(points.axis_profile(_plot_rows(t), include_sales=True), ("min_value", "max_value", "ratio"))
+
+
 @query
 def axis_profile(t: SampleTables) -> DataFrame:
     return _rounded(points.axis_profile(_plot_rows(t)), ("min_value", "max_value", "ratio"))

@@ -148,9 +148,9 @@ def test_scaled_features(updated):
 
 def test_kmeans_keeps_the_best_start(updated):
     vectors = features.feature_vectors(features.scaled_features(updated)).cache()
-    costs = [clusters.fit_kmeans(vectors, k=3, starts=1, seed=s).summary.trainingCost for s in (42, 43, 44)]
-    best = clusters.fit_kmeans(vectors, k=3, starts=3).summary.trainingCost
-    assert best == pytest.approx(min(costs))
+    costs = [clusters.fit_kmeans(vectors, k=3, starts=1, seed=s).cost for s in (42, 43, 44)]
+    best = clusters.fit_kmeans(vectors, k=3, starts=3)
+    assert best.cost == pytest.approx(min(costs)) and best.costs == pytest.approx(costs)
     labels = clusters.kmeans_clusters(vectors, k=3, starts=1)
     assert labels.select("kmeans_cluster").distinct().count() == 3
     assert labels.count() == vectors.count()
