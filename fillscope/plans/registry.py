@@ -495,10 +495,40 @@ def parquet_roundtrip(t: SampleTables) -> DataFrame:
 
 @query
 def catalog_objects(t: SampleTables) -> DataFrame:
-    return catalog.describe_objects(t.spark, catalog.register_warehouse(t.markets, t.trades))
+    """The stored markets and the view over the stored trades, read back from the catalogue."""
+    files = shared_folder(t.spark, "trade-files")
+    sinks.write_parquet(t.trades, files)
+    found = catalog.describe_objects(t.spark, catalog.register_warehouse(t.spark, t.markets, files))
+    # Where the files lie differs from run to run.
+    view = F.regexp_replace("definition", "`[^`]*/trade-files-[^`]*`", "files")
+    table = F.regexp_replace(view, "(?s)LOCATION '[^']*'.*", "LOCATION files")
+    return found.withColumn("definition", F.trim(F.regexp_replace(table, "\\s+", " ")))
 
 
 @query
 def dataset_profile(t: SampleTables) -> DataFrame:
     found = catalog.profile_dataset(t.spark, t.folder)
-    return found.select("file_name", "total_rows", "n_columns")
+    return found.select("below_root", "file_name", "total_rows", "n_columns", "schema")
+
+
+@query
+def dataset_ranges(t: SampleTables) -> DataFrame:
+    """Whole-number columns of all files: rows, nulls and range, from footers only."""
+    found = catalog.profile_columns(t.spark, t.folder)
+    whole = F.col("column_name").rlike("(key|_id|turn|size|n_chars|number|quality|toxic)$")
+    return found.where(whole).select(
+        "file_name",
+        "column_name",
+        "total_rows",
+        "n_nulls",
+        F.col("min_value").cast("long").alias("min_value"),
+        F.col("max_value").cast("long").alias("max_value"),
+    )
+
+
+@query
+def dataset_preview(t: SampleTables) -> DataFrame:
+    """The first five rows of every file, with the value of the file's first column."""
+    found = catalog.preview_files(t.spark, t.folder)
+    first = F.regexp_extract("row_json", '^[{]"[^"]+": (-?[0-9]+)', 1)
+    return found.select("file_name", "position", first.cast("long").alias("first_value"))

@@ -10,6 +10,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from fillscope.scale import shared_folder
+from fillscope.sources.footers import column_ranges, data_files, file_footers, first_rows
 from fillscope.sources.sinks import write_parquet
 
 # Folders the profile leaves out.
@@ -25,35 +26,63 @@ def store(df: DataFrame, path: str | None = None, purpose: str = "table") -> Dat
 
 
 def register_warehouse(
-    markets: DataFrame, trades: DataFrame, prefix: str = "warehouse", path: str | None = None
+    spark: SparkSession, markets: DataFrame, trade_files: str, prefix: str = "warehouse", path: str | None = None
 ) -> list[str]:
-    """Markets as stored rows, trades as a view that copies nothing."""
+    """Markets as a stored table, trades as a permanent view over their files, which copies nothing.
+
+    Both belong to the session catalogue, so that other sessions, and with a metastore later runs, find them
+    with their definitions. Objects of these names are replaced, whichever kind they are.
+    """
     names = [f"{prefix}_markets", f"{prefix}_trades"]
-    store(markets, path, names[0]).createOrReplaceTempView(names[0])
-    trades.createOrReplaceTempView(names[1])
+    for name in names:
+        drop_object(spark, name)
+    target = path or shared_folder(spark, names[0])
+    markets.write.mode("overwrite").option("path", target).saveAsTable(names[0])
+    spark.sql(f"CREATE VIEW {names[1]} AS SELECT * FROM parquet.`{trade_files}`")
     return names
 
 
+def drop_object(spark: SparkSession, name: str) -> None:
+    """Remove a table or a view; its files stay, unless the catalogue manages them."""
+    if spark.catalog.tableExists(name):
+        kind = "VIEW" if spark.catalog.getTable(name).tableType == "VIEW" else "TABLE"
+        spark.sql(f"DROP {kind} {name}")
+
+
+def definition(spark: SparkSession, name: str) -> dict[str, str | None]:
+    """Type, columns and definition of an object, as the catalogue stores them.
+
+    The definition is a view's query, and a table's CREATE statement; temporary views have none.
+    """
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()
+    cut = next((i for i, r in enumerate(rows) if not r.col_name or r.col_name.startswith("#")), len(rows))
+    details = {r.col_name: r.data_type for r in rows[cut:]}
+    is_view = details.get("Type") == "VIEW" or spark.catalog.getTable(name).isTemporary
+    return {
+        "object_type": "VIEW" if is_view else "TABLE",
+        "columns": ", ".join(f"{r.col_name} {r.data_type}" for r in rows[:cut]),
+        "definition": details.get("View Text") if is_view else spark.sql(f"SHOW CREATE TABLE {name}").first()[0],
+    }
+
+
 def describe_objects(spark: SparkSession, names: Sequence[str]) -> DataFrame:
-    """One row per name: whether it exists, what it is, its width and row count."""
+    """One row per name: whether it exists, what it is, its columns, definition and row count."""
 
     def one(name: str) -> DataFrame:
-        if not spark.catalog.tableExists(name):
-            return spark.range(1).select(
-                F.lit(name).alias("object_name"),
-                F.lit(None).cast("string").alias("object_type"),
-                F.lit(0).cast("long").alias("n_columns"),
-                F.lit(None).cast("long").alias("row_count"),
-            )
-        found = spark.catalog.getTable(name)
-        rows = spark.table(name)
-        return rows.agg(F.count(F.lit(1)).alias("row_count")).select(
+        found = definition(spark, name) if spark.catalog.tableExists(name) else {}
+        if found:
+            counted = spark.table(name).agg(F.count(F.lit(1)).alias("row_count"))
+        else:
+            counted = spark.range(1).select(F.lit(None).cast("long").alias("row_count"))
+        text = {key: F.lit(found.get(key)).cast("string").alias(key) for key in ("object_type", "columns", "definition")}
+        width = len(spark.table(name).columns) if found else 0
+        return counted.select(
             F.lit(name).alias("object_name"),
-            F.lit("VIEW" if found.isTemporary or found.tableType == "VIEW" else "TABLE").alias(
-                "object_type"
-            ),
-            F.lit(len(rows.columns)).cast("long").alias("n_columns"),
+            text["object_type"],
+            F.lit(width).cast("long").alias("n_columns"),
             "row_count",
+            text["columns"],
+            text["definition"],
         )
 
     return reduce(DataFrame.unionByName, map(one, names))
@@ -70,17 +99,9 @@ def list_data_files(
     skipped: Iterable[str] = SKIPPED_FOLDERS,
 ) -> DataFrame:
     """Parquet files below ``root``; with ``max_files``, only the first of each folder by name."""
-    files = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", "*.parquet")
-        .load(root)
-        .select("path", F.col("length").alias("file_bytes"))
-    )
     parts = F.split("path", "/")
-    files = files.select(
-        "path",
-        "file_bytes",
+    files = data_files(spark, root).select(
+        "*",
         F.element_at(parts, -1).alias("file_name"),
         F.array_join(F.slice(parts, F.lit(1), F.size(parts) - 1), "/").alias("folder"),
     )
@@ -95,39 +116,51 @@ def list_data_files(
     ).drop("rank")
 
 
+def _placed(found: DataFrame, root: str) -> DataFrame:
+    """Replace the path by folder and file name, and by the folder's place below ``root``."""
+    plain = _plain_path(F.col("path"))
+    parts = F.split(plain, "/")
+    folder = F.array_join(F.slice(parts, F.lit(1), F.size(parts) - 1), "/")
+    top = F.rtrim(_plain_path(F.lit(root)), F.lit("/"))
+    below = F.when(folder.startswith(F.concat(top, F.lit("/"))), F.substr(folder, F.length(top) + 2)).otherwise(F.lit("."))
+    return found.select(
+        folder.alias("folder"),
+        below.alias("below_root"),
+        F.element_at(parts, -1).alias("file_name"),
+        *[c for c in found.columns if c != "path"],
+    )
+
+
 def profile_dataset(
     spark: SparkSession,
     root: str,
     max_files: int | None = None,
     skipped: Iterable[str] = SKIPPED_FOLDERS,
 ) -> DataFrame:
-    """Per folder and file: row count and column names with types.
+    """Per folder and file: rows, row groups, column count, and column names with types.
 
-    A file's schema is read from its own footer. Files without rows are listed with 0, an empty
-    tree gives no rows. Only the list of files comes to the driver.
+    Files without rows are listed with 0, an empty tree gives no rows. Footers are read by the executors (see
+    ``footers``); nothing comes to the driver.
     """
-    files = list_data_files(spark, root, max_files, skipped)
-    by_schema: dict[str, list[str]] = {}
-    for row in files.select("path").toLocalIterator():
-        by_schema.setdefault(spark.read.parquet(row.path).schema.json(), []).append(row.path)
-    parts = F.split(F.col("path"), "/")
-
-    def one(paths: list[str]) -> DataFrame:
-        rows = spark.read.parquet(*paths)
-        columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema)
-        counts = rows.groupBy(_plain_path(F.col("_metadata.file_path")).alias("path")).agg(F.count(F.lit(1)).alias("total_rows"))
-        listed = spark.createDataFrame([(p,) for p in paths], "path string").select(_plain_path(F.col("path")).alias("path"))
-        return listed.join(counts, "path", "left").select(
-            F.array_join(F.slice(parts, F.lit(1), F.size(parts) - 1), "/").alias("folder"),
-            F.element_at(parts, -1).alias("file_name"),
-            F.coalesce("total_rows", F.lit(0)).cast("long").alias("total_rows"),
-            F.lit(len(rows.columns)).cast("long").alias("n_columns"),
-            F.lit(columns).alias("schema"),
-        )
+    return _placed(file_footers(list_data_files(spark, root, max_files, skipped)), root)
+
+
+def profile_columns(
+    spark: SparkSession, root: str, max_files: int | None = None, skipped: Iterable[str] = SKIPPED_FOLDERS
+) -> DataFrame:
+    """Per file and column: rows, nulls and range from the footer's statistics."""
+    return _placed(column_ranges(list_data_files(spark, root, max_files, skipped)), root)
+
 
-    if not by_schema:
-        return spark.createDataFrame([], "folder string, file_name string, total_rows long, n_columns long, schema string")
-    return reduce(DataFrame.unionByName, [one(paths) for paths in by_schema.values()])
+def preview_files(
+    spark: SparkSession,
+    root: str,
+    rows: int = 5,
+    max_files: int | None = None,
+    skipped: Iterable[str] = SKIPPED_FOLDERS,
+) -> DataFrame:
+    """The first rows of each file as JSON."""
+    return _placed(first_rows(list_data_files(spark, root, max_files, skipped), rows), root)
 
 
 def _plain_path(path: Column) -> Column:
