@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -11,7 +13,7 @@ from fillscope.functions.numeric import exact_sum
 from fillscope.functions.times import block_epoch, utc_time
 from fillscope.operators.markets import DEFAULT_THRESHOLD, expand_markets, token_dimension, tokens
 from fillscope.operators.subset import trades_of
-from fillscope.scale import lookup_join, spread_by_order
+from fillscope.scale import lookup_join, shared_folder, spread_by_order
 
 
 def trades_with_time(trades: DataFrame, blocks: DataFrame) -> DataFrame:
@@ -70,7 +72,11 @@ def position_units(
     if traders is not None:
         # Fills of other parties go before they meet the lookups.
         facts = trades_of(facts, traders)
-    facts = lookup_join(facts, resolved, "token").join(timed, "block_number")
+    return units_of(lookup_join(facts, resolved, "token").join(timed, "block_number"), traders)
+
+
+def units_of(facts: DataFrame, traders: DataFrame | None = None) -> DataFrame:
+    """The positions of fills that know their token's outcome and their time."""
     sides = facts.select(
         *[c for c in facts.columns if c not in ("maker", "taker", "maker_asset_id", "taker_asset_id")],
         F.inline(_parties()),
@@ -92,6 +98,75 @@ def position_units(
     )
 
 
+# Why a side is no position, in the order in which a fill is tested.
+UNKNOWN_TOKEN, UNRESOLVED, NO_BLOCK, BAD_TIME, NO_TRADER = (
+    "unknown token",
+    "unresolved token",
+    "unknown block",
+    "invalid block time",
+    "unknown trader",
+)
+
+
+def judged_sides(
+    trades: DataFrame, blocks: DataFrame, markets: DataFrame, threshold: float = DEFAULT_THRESHOLD
+) -> DataFrame:
+    """Every side of every fill with ``reason``: NULL for a position, else why it is none.
+
+    Lookups are left joins, so each fill stays; both sides of a fill share its reason, and a side
+    without a trader has its own.
+    """
+    known = token_dimension(markets, threshold).select("token", "implied_outcome", F.lit(True).alias("listed"))
+    timed = blocks.select(
+        "block_number", block_epoch(F.col("timestamp")).alias("epoch"), F.lit(True).alias("mined")
+    )
+    facts = trades.select(
+        "transaction_hash", "log_index", "block_number", "maker", "taker", fills.traded_token().alias("token")
+    )
+    found = lookup_join(lookup_join(facts, known, "token", "left"), timed, "block_number", "left")
+    sides = F.array(
+        F.struct(F.col("maker").alias("trader"), F.lit("maker").alias("side")),
+        F.struct(F.col("taker").alias("trader"), F.lit("taker").alias("side")),
+    )
+    reason = (
+        F.when(F.col("listed").isNull(), UNKNOWN_TOKEN)
+        .when(F.col("implied_outcome").isNull(), UNRESOLVED)
+        .when(F.col("mined").isNull(), NO_BLOCK)
+        .when(F.col("epoch").isNull(), BAD_TIME)
+        .when(F.col("trader").isNull(), NO_TRADER)
+    )
+    return found.select(
+        "transaction_hash", "log_index", "block_number", "token", "implied_outcome", "listed", "epoch", "mined", F.inline(sides)
+    ).select("transaction_hash", "log_index", "block_number", "token", "side", "trader", reason.alias("reason"))
+
+
+@dataclass(frozen=True)
+class Judged:
+    """What a run of ``split_rejects`` wrote: rejected sides, and counts by reason (None: positions)."""
+
+    rejects: DataFrame
+    counts: dict[str | None, int]
+
+
+def split_rejects(sides: DataFrame, path: str | None = None) -> Judged:
+    """Write the rejected sides with their reasons, and count all sides on the way.
+
+    The counts are observed while the rows are written: one pass, and one row of numbers at the driver.
+    """
+    reasons = (UNKNOWN_TOKEN, UNRESOLVED, NO_BLOCK, BAD_TIME, NO_TRADER)
+    counted = Observation()
+    watched = sides.observe(
+        counted,
+        F.count_if(F.col("reason").isNull()).alias("kept"),
+        *[F.count_if(F.col("reason") == reason).alias(reason) for reason in reasons],
+    )
+    target = path or shared_folder(sides.sparkSession, "rejects")
+    watched.filter(F.col("reason").isNotNull()).write.mode("overwrite").parquet(target)
+    found = counted.get
+    rejects = sides.sparkSession.read.schema(sides.schema).parquet(target)
+    return Judged(rejects, {None: found["kept"], **{reason: found[reason] for reason in reasons}})
+
+
 def positions(
     trades: DataFrame,
     blocks: DataFrame,
@@ -100,7 +175,11 @@ def positions(
     threshold: float = DEFAULT_THRESHOLD,
 ) -> DataFrame:
     """Positions in dollars and contracts."""
-    units = position_units(trades, blocks, markets, traders, threshold)
+    return in_dollars(position_units(trades, blocks, markets, traders, threshold))
+
+
+def in_dollars(units: DataFrame) -> DataFrame:
+    """Amounts and profits of positions in dollars and contracts instead of millionths."""
     return units.select(
         *[c for c in ("transaction_hash", "log_index") if c in units.columns],
         "block_number",

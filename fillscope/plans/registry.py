@@ -17,13 +17,15 @@ from fillscope import schemas
 from fillscope.functions.numeric import half_even, hash_bucket
 from fillscope.operators import categories, clusters, features, markets, points, positions, stats, subset
 from fillscope.scale import cut_lineage, shared_folder
-from fillscope.sources import catalog, readers, sinks
+from fillscope.sources import catalog, layouts, readers, sinks
 from fillscope.sources.sample_tables import SampleTables, derive_trades
+from fillscope.streaming import incremental
 from fillscope.streaming.trader_counts import stream_trader_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 RATE, MIN_TRADES, USER, FIXED_CLUSTERS = 5, 20, "0xC00000042", 7
+NTH_FILL, MONTH = 2999, "1996-03"
 PLOT = {"max_points": 1000, "x_field": "avg_odds", "y_field": "win_rate"}
 PLOT_MODE = {**PLOT, "category": "Crypto", "min_trades": MIN_TRADES, "include_sales": True}
 
@@ -142,13 +144,51 @@ def user_trade_count(t: SampleTables) -> DataFrame:
 @query
 def trader_counts_stream(t: SampleTables) -> DataFrame:
     """The trader counts, kept by a streaming query over the order-line files."""
-    lines = (
+    return stream_trader_counts(derive_trades(_line_stream(t), t.table("orders")))
+
+
+def _line_stream(t: SampleTables) -> DataFrame:
+    return (
         t.spark.readStream.schema(t.table("lineitem").schema)
         .option("maxFilesPerTrigger", 100)
         .option("pathGlobFilter", "lineitem*.parquet")
         .parquet(t.folder)
     )
-    return stream_trader_counts(derive_trades(lines, t.table("orders")))
+
+
+def _loaded(t: SampleTables) -> str:
+    """Trades loaded from the order-line files, and loaded again by a query that starts over."""
+    target = shared_folder(t.spark, "loaded-trades")
+    for _ in range(2):
+        checkpoint = shared_folder(t.spark, "load-checkpoint")
+        incremental.load_files(_line_stream(t), target, checkpoint, lambda lines: derive_trades(lines, t.table("orders")))
+    return target
+
+
+@query
+def trades_loaded(t: SampleTables) -> DataFrame:
+    return incremental.loaded_trades(t.spark, _loaded(t), ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in t.trades.schema))
+
+
+@query
+def trader_counts_loaded(t: SampleTables) -> DataFrame:
+    return incremental.loaded_counts(t.spark, _loaded(t))
+
+
+@query
+def address_index(t: SampleTables) -> DataFrame:
+    """The fills of one address, looked up in the index in another spelling, with its exact form."""
+    path = shared_folder(t.spark, "address-index")
+    layouts.store_address_index(t.trades, path)
+    exact = layouts.indexed_address(t.spark, path, USER.lower())
+    own = layouts.indexed_trades(t.spark, path, USER.upper()).select(*schemas.TRADES.fieldNames(), "address_key", "role")
+    return own.join(exact.select(F.lower("maker").alias("address_key"), F.col("maker").alias("exact_address")), "address_key", "left").drop("address_key")
+
+
+@query
+def nth_fill(t: SampleTables) -> DataFrame:
+    """The fill at a position of the chain's order."""
+    return catalog.nth_row(t.trades, NTH_FILL, ["block_number", "transaction_hash", "log_index"])
 
 
 # --- positions and profit ----------------------------------------------------------
@@ -164,6 +204,36 @@ def positions_(t: SampleTables) -> DataFrame:
     return positions.positions(t.trades, t.blocks, t.markets)
 
 
+@query
+def bucketed_positions(t: SampleTables) -> DataFrame:
+    """Positions from fills and tokens that are stored in the same buckets."""
+    fills_name, tokens_name = layouts.store_bucketed(t.trades, t.blocks, t.markets)
+    return layouts.bucketed_positions(t.spark, fills_name, tokens_name)
+
+
+@query
+def trades_of_days(t: SampleTables) -> DataFrame:
+    """Trades with block time of the blocks of one month, from trades stored by day."""
+    path = shared_folder(t.spark, "trades-by-day")
+    blocks = cut_lineage(t.blocks)
+    layouts.store_by_day(t.trades, blocks, path)
+    return layouts.trades_of_blocks(t.spark, path, blocks.where(F.col("timestamp").startswith(MONTH)))
+
+
+@query
+def rejected_sides(t: SampleTables) -> DataFrame:
+    """Sides of fills that are no positions, with the reason."""
+    return positions.split_rejects(positions.judged_sides(t.trades, t.blocks, t.markets)).rejects
+
+
+@query
+def reject_counts(t: SampleTables) -> DataFrame:
+    """Sides by reason as observed while the rejects are written; 'kept' are the positions."""
+    found = positions.split_rejects(positions.judged_sides(t.trades, t.blocks, t.markets))
+    rows = [(reason or "kept", n) for reason, n in found.counts.items()]
+    return t.spark.createDataFrame(rows, "reason string, n bigint").where("n > 0")
+
+
 @query
 def sampled_positions(t: SampleTables) -> DataFrame:
     """Positions of the sampled traders only."""

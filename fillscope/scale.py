@@ -80,6 +80,11 @@ def lookup_join(facts: DataFrame, dimension: DataFrame, on: str | Sequence[str],
     return facts.join(dimension, on, how)
 
 
+def spread_width(spark: SparkSession) -> int:
+    """Partitions of a layout whose number the caller leaves open."""
+    return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+
+
 def spread_by_order(
     df: DataFrame, order: Sequence, partitions: int | None = None, name: str = "slice"
 ) -> DataFrame:
@@ -90,7 +95,7 @@ def spread_by_order(
     breaks ties, so that many equal rows spread over several slices too.
     """
     spark = df.sparkSession
-    width = partitions or int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    width = partitions or spread_width(spark)
     numbered = df.withColumn("_tie", F.monotonically_increasing_id())
     ranged = numbered.repartitionByRange(width, *order, F.col("_tie")).drop("_tie")
     return cut_lineage(ranged.withColumn(name, F.spark_partition_id()))
@@ -115,3 +120,33 @@ def global_rank(df: DataFrame, order: Sequence, name: str = "rank") -> DataFrame
         .withColumn(name, F.col("_start") + F.col("_inside"))
         .drop("_slice", "_inside", "_start")
     )
+
+
+# Rows that one task may sort while the place of a row is looked for.
+SORTED_ROWS = 1 << 20
+
+
+def row_at(df: DataFrame, position: int, order: Sequence, sorted_rows: int = SORTED_ROWS) -> DataFrame:
+    """The row at a zero-based position of an order, without sorting all rows in one task.
+
+    A range partitioning and the sizes of its slices tell in which slice the position lies. That slice is
+    cut again until one task can sort it. Rows that are equal in ``order`` may take each other's
+    place. No row beyond the last.
+    """
+    if position < 0:
+        raise ValueError("a position is not negative")
+    current, total = df, None
+    while total is None or total > sorted_rows:
+        sliced = spread_by_order(current, order, name="_slice")
+        sizes = sliced.groupBy("_slice").agg(F.count(F.lit(1)).alias("n")).orderBy("_slice").collect()
+        chosen, rest = None, position
+        for row in sizes:
+            if rest < row.n:
+                chosen = row
+                break
+            rest -= row.n
+        if chosen is None:
+            return df.limit(0)
+        current, position = sliced.where(F.col("_slice") == chosen["_slice"]).drop("_slice"), rest
+        total = chosen.n
+    return current.orderBy(*order).offset(position).limit(1)

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from fillscope.scale import shared_folder
+from fillscope.scale import row_at, shared_folder
 from fillscope.sources.footers import column_ranges, data_files, file_footers, first_rows
 from fillscope.sources.sinks import write_parquet
 
@@ -175,4 +175,4 @@ def preview(spark: SparkSession, path: str, rows: int = 5) -> DataFrame:
 
 def nth_row(df: DataFrame, position: int, order: Sequence[str]) -> DataFrame:
     """The row at a zero-based position of a declared order."""
-    return df.orderBy(*order).offset(position).limit(1)
+    return row_at(df, position, order)
