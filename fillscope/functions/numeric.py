@@ -21,14 +21,37 @@ def exact_sum(integers: Column) -> Column:
     return F.sum(integers.cast("decimal(28,0)"))
 
 
+# 64-bit integers are summed in digits of so many bits, each in a long: 2^42 rows fit.
+DIGIT_BITS = 21
+_DIGIT = (1 << DIGIT_BITS) - 1
+
+
+def _digit_sum(high: Column, rest: Column, where: Column | None) -> Column:
+    """The sum of high * 2^42 + rest from sums of longs, put together once per group."""
+    kept = (lambda c: c) if where is None else (lambda c: F.when(where, c))
+    digits = (high, F.shiftright(rest, DIGIT_BITS), rest.bitwiseAND(F.lit(_DIGIT)))
+    sums = [F.sum(kept(digit)).cast("decimal(20,0)") for digit in digits]
+    scale = lambda bits: F.lit(1 << bits).cast("decimal(13,0)")
+    return sums[0] * scale(2 * DIGIT_BITS) + sums[1] * scale(DIGIT_BITS) + sums[2]
+
+
+def long_sum(integers: Column, where: Column | None = None) -> Column:
+    """The exact sum of 64-bit integers as a decimal, without decimals per row."""
+    rest = integers.bitwiseAND(F.lit((1 << 2 * DIGIT_BITS) - 1))
+    return _digit_sum(F.shiftright(integers, 2 * DIGIT_BITS), rest, where)
+
+
 def on_grid(value: Column) -> Column:
-    """A ratio as an integer on the grid."""
-    return F.rint(value * RATIO_GRID).cast("decimal(28,0)")
+    """A ratio of moderate size as an integer on the grid."""
+    return F.rint(value * RATIO_GRID).cast("long")
 
 
-def grid_mean(value: Column) -> Column:
-    """Mean of a ratio, independent of row order (see RATIO_GRID)."""
-    return F.sum(on_grid(value)).cast("double") / RATIO_GRID / F.count(value)
+def grid_sum(value: Column, where: Column | None = None) -> Column:
+    """The exact sum of a ratio's places on the grid, of any size up to 2^105."""
+    place = F.rint(value * RATIO_GRID)
+    high = F.floor(place / float(1 << 2 * DIGIT_BITS))
+    rest = (place - high * float(1 << 2 * DIGIT_BITS)).cast("long")
+    return _digit_sum(high, rest, where)
 
 
 def rounded_away(integers: Column, unit: int) -> Column:

@@ -7,6 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from fillscope.functions.categories import HISTOGRAM_RULES, MARKET_RULES, Rules, decode_one_hot, one_hot
+from fillscope.functions.fills import DOLLAR_ASSET
 from fillscope.functions.numeric import exact_sum, rounded_away
 from fillscope.operators.markets import categorized_markets, token_categories
 from fillscope.scale import lookup_join
@@ -23,14 +24,23 @@ def trade_categories(
 
     The taker's asset decides, then the maker's, then the maker's earlier primary
     category from ``history`` (used only if it has that column), then the default.
+
+    The dollar is no token, so one lookup on the other asset serves a fill that is paid in dollars. Only a fill of
+    two tokens has a key for the second lookup; the fills stay on the left of both joins, where adaptive
+    execution splits a partition that many of them share.
     """
-    known = token_categories(markets, rules)
-    by_taker = known.select(F.col("token_key").alias("taker_key"), F.col("category").alias("taker_category"))
-    by_maker = known.select(F.col("token_key").alias("maker_key"), F.col("category").alias("maker_category"))
+    known = token_categories(markets, rules).filter(F.col("token_key") != DOLLAR_ASSET)
+    first = known.select(F.col("token_key").alias("first_key"), F.col("category").alias("first_category"))
+    second = known.select(F.col("token_key").alias("second_key"), F.col("category").alias("second_category"))
+    taker_pays = F.col("taker_asset_id").eqNullSafe(DOLLAR_ASSET)
+    both = ~taker_pays & ~F.col("maker_asset_id").eqNullSafe(DOLLAR_ASSET)
     keyed = trades.withColumns(
-        {"taker_key": F.lower("taker_asset_id"), "maker_key": F.lower("maker_asset_id")}
+        {
+            "first_key": F.lower(F.when(taker_pays, F.col("maker_asset_id")).otherwise(F.col("taker_asset_id"))),
+            "second_key": F.when(both, F.lower("maker_asset_id")),
+        }
     )
-    found = lookup_join(lookup_join(keyed, by_taker, "taker_key", "left"), by_maker, "maker_key", "left")
+    found = lookup_join(lookup_join(keyed, first, "first_key", "left"), second, "second_key", "left")
     if history is not None and "primary_category" in history.columns:
         past = history.groupBy(F.lower("trader").alias("history_key")).agg(
             F.max("primary_category").alias("cat_by_history")
@@ -38,7 +48,7 @@ def trade_categories(
         found = lookup_join(found.withColumn("history_key", F.lower("maker")), past, "history_key", "left")
     else:
         found = found.withColumn("cat_by_history", F.lit(None).cast("string"))
-    by_token = F.coalesce("taker_category", "maker_category")
+    by_token = F.coalesce("first_category", "second_category")
     return found.select(
         *trades.columns,
         by_token.alias("cat_by_token"),
@@ -47,18 +57,6 @@ def trade_categories(
     )
 
 
-def with_history(categorized: DataFrame, history: DataFrame) -> DataFrame:
-    """Add the earlier primary category of the maker to trades categorised by token only."""
-    past = history.groupBy(F.lower("trader").alias("history_key")).agg(F.max("primary_category").alias("past"))
-    found = lookup_join(categorized.withColumn("history_key", F.lower("maker")), past, "history_key", "left")
-    return found.withColumns(
-        {
-            "cat_by_history": F.col("past"),
-            "category": F.coalesce("cat_by_token", "past", F.lit(DEFAULT_CATEGORY)),
-        }
-    ).select(categorized.columns)
-
-
 def trader_primary_category(categorized_trades: DataFrame) -> DataFrame:
     """Most frequent category per maker, ties by category name.
 

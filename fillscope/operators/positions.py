@@ -9,7 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from fillscope.functions import fills
-from fillscope.functions.numeric import exact_sum
+from fillscope.functions.numeric import long_sum
 from fillscope.functions.times import block_epoch, utc_time
 from fillscope.operators.markets import DEFAULT_THRESHOLD, expand_markets, token_dimension, tokens
 from fillscope.operators.subset import trades_of
@@ -300,5 +300,5 @@ def running_profit(rows: DataFrame) -> DataFrame:
 
 def total_profit(rows: DataFrame) -> DataFrame:
     """Sum of profit per user over the profit rows."""
-    total = exact_sum(F.col("profit_units")).cast("double") / fills.UNIT
+    total = long_sum(F.col("profit_units")).cast("double") / fills.UNIT
     return rows.groupBy("user").agg(total.alias("total_profit"))

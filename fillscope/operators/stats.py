@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fillscope.functions import fills
-from fillscope.functions.numeric import RATIO_GRID, clamp, exact_sum, grid_mean, half_even
+from fillscope.functions.numeric import RATIO_GRID, clamp, grid_sum, half_even, long_sum, on_grid
 from fillscope.functions.times import SECONDS_PER_DAY
 from fillscope.operators.markets import DEFAULT_THRESHOLD, tokens
 from fillscope.operators.positions import position_units
@@ -59,18 +59,23 @@ def win_rate_leaderboard(
     )
 
 
-# The same aggregates over all positions and, where ``bought_contract`` holds, over
-# buys. Amounts, and ratios on a fixed grid, are summed as integers of 38 digits, so the sums
-# do not depend on partitioning, retries or the order of shuffle blocks.
-_SUMS = {
-    "n": "count(*)",
-    "wins": "count_if(won)",
-    "dollars": "sum(dollar_units)",
-    "gains": "sum(profit_units)",
-    "odds": "sum(odds_grid)",
-    "first": "min(epoch)",
-    "last": "max(epoch)",
-}
+def _sums(prefix: str, where: Column | None) -> list[Column]:
+    """The aggregates behind the metrics, over all positions or those that ``where`` keeps.
+
+    Amounts, and ratios on a fixed grid, are summed as integers, so the sums do not depend on
+    partitioning, retries or the order of shuffle blocks.
+    """
+    kept = F.lit(True) if where is None else where
+    sums = {
+        "n": F.count_if(kept),
+        "wins": F.count_if(kept & F.col("won")),
+        "dollars": long_sum(F.col("dollar_units"), where),
+        "gains": long_sum(F.col("profit_units"), where),
+        "odds": grid_sum(F.col("odds"), where),
+        "first": F.min(F.when(kept, F.col("epoch"))),
+        "last": F.max(F.when(kept, F.col("epoch"))),
+    }
+    return [value.alias(prefix + name) for name, value in sums.items()]
 
 
 def _measures(sums: str, suffix: str) -> list[Column]:
@@ -100,72 +105,64 @@ def trader_stats(
     One aggregate with partial sums on the map side: a trader with a third of all
     fills reaches the reducer as one row per map task.
     """
-    units = position_units(trades, blocks, markets, traders, threshold).selectExpr(
-        "trader",
-        "bought_contract",
-        "won",
-        "epoch",
-        "CAST(dollar_units AS DECIMAL(28, 0)) AS dollar_units",
-        "CAST(profit_units AS DECIMAL(28, 0)) AS profit_units",
-        f"CAST(rint(odds * {RATIO_GRID}D) AS DECIMAL(28, 0)) AS odds_grid",
-    )
-    sums = units.groupBy("trader").agg(
-        *[F.expr(text).alias(f"all_{name}") for name, text in _SUMS.items()],
-        *[
-            F.expr(f"{text} FILTER (WHERE bought_contract)").alias(f"buy_{name}")
-            for name, text in _SUMS.items()
-        ],
-    )
+    units = position_units(trades, blocks, markets, traders, threshold)
+    sums = units.groupBy("trader").agg(*_sums("all_", None), *_sums("buy_", F.col("bought_contract")))
     return sums.filter("buy_n > 0").select(
         "trader", *_measures("all_", ""), *_measures("buy_", BUYS_ONLY)
     )
 
 
-def two_sided_positions(fills_: DataFrame) -> DataFrame:
-    """A maker row at the implied price and a taker row at its complement."""
+def _priced_sides(fills_: DataFrame, *keys: Column) -> DataFrame:
+    """A maker row at the implied price and a taker row at its complement, with the fill's keys."""
     price = F.col("maker_price")
 
     def side(trader: str, value: Column, amount: str) -> Column:
-        return F.struct(
-            F.col(trader).alias("trader"),
-            value.alias("implied_price"),
-            F.col(amount).cast("double").alias("position_size"),
-        )
-
-    priced = fills_.withColumns(
-        {
-            "maker_price": fills.implied_price(F.col("maker_amount"), F.col("taker_amount")),
-            "fill_id": fills.fill_id(),
-        }
-    )
+        return F.struct(F.col(trader).alias("trader"), value.alias("implied_price"), F.col(amount).alias("units"))
+
+    priced = fills_.withColumn("maker_price", fills.implied_price(F.col("maker_amount"), F.col("taker_amount")))
     sides = F.array(
         side("maker", price, "maker_amount"), side("taker", F.lit(100.0) - price, "taker_amount")
     )
-    return priced.select("category", "fill_id", F.inline(sides)).dropna(
-        subset=["trader", "category", "implied_price", "fill_id"]
-    )
+    known = F.col("transaction_hash").isNotNull() & F.col("log_index").isNotNull()
+    found = priced.filter(known).select("category", *keys, F.inline(sides))
+    return found.dropna(subset=["trader", "category", "implied_price"])
+
+
+def two_sided_positions(fills_: DataFrame) -> DataFrame:
+    """One row per side of a fill: trader, category, implied price, size and fill id."""
+    sides = _priced_sides(fills_, fills.fill_id().alias("fill_id"))
+    return sides.select("category", "fill_id", "trader", "implied_price", F.col("units").cast("double").alias("position_size"))
 
 
 def proxy_win_rates(categorized_trades: DataFrame) -> DataFrame:
     """Heuristic win rate and sizes per trader and category.
 
-    Distinct fills are counted in two steps keyed by the fill as well, so a hot
-    trader is first spread over many tasks.
+    All measures are first summed per trader, category and fill, so that a hot trader is spread over
+    many tasks and the fills are counted without a second pass.
     """
     require_columns(
         categorized_trades,
         ("maker", "taker", "maker_amount", "taker_amount", "category", "transaction_hash", "log_index"),
         "categorized trades",
     )
-    sides = two_sided_positions(categorized_trades)
+    sides = _priced_sides(categorized_trades, F.col("transaction_hash"), F.col("log_index"))
     score = clamp(F.lit(1.0) - F.abs(F.col("implied_price") - 50.0) / 50.0, 0.0, 1.0)
-    grouped = sides.withColumn("score", score).groupBy("trader", "category").agg(
-        F.count(F.lit(1)).alias("n_positions"),
-        F.countDistinct("fill_id").alias("n_fills"),
-        grid_mean(F.col("score")).alias("avg_score"),
-        grid_mean(F.col("implied_price")).alias("avg_implied_price"),
-        (exact_sum(F.col("position_size")).cast("double") / F.count(F.lit(1))).alias("avg_position_size"),
-        exact_sum(F.col("position_size")).cast("double").alias("total_position_size"),
+    # A fill has few rows per trader, so plain sums of longs do here.
+    per_fill = sides.groupBy("trader", "category", "transaction_hash", "log_index").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.sum(on_grid(score)).alias("score"),
+        F.sum(on_grid(F.col("implied_price"))).alias("price"),
+        F.sum("units").alias("units"),
+    )
+    total = {name: long_sum(F.col(name)).cast("double") for name in ("score", "price", "units")}
+    n = F.sum("n")
+    grouped = per_fill.groupBy("trader", "category").agg(
+        n.alias("n_positions"),
+        F.count(F.lit(1)).alias("n_fills"),
+        (total["score"] / RATIO_GRID / n).alias("avg_score"),
+        (total["price"] / RATIO_GRID / n).alias("avg_implied_price"),
+        (total["units"] / n).alias("avg_position_size"),
+        total["units"].alias("total_position_size"),
     )
     activity = clamp(
         F.log1p(F.col("n_positions").cast("double")) / F.log(F.lit(1.0 + PROXY_ACTIVITY_CAP)), 0.0, 1.0

@@ -272,11 +272,11 @@ def _updated(t: SampleTables) -> DataFrame:
 def _categorized(t: SampleTables) -> DataFrame:
     """Categories with the history of an earlier run, whose addresses are in capitals.
 
-    The first categorisation is stored: it gives both the history and the rows.
+    The history is one row per maker; the fills are read again rather than stored in between.
     """
-    first = cut_lineage(categories.trade_categories(t.trades, t.markets))
-    primary = categories.trader_primary_category(first)
-    return categories.with_history(first, primary.select(F.upper("trader").alias("trader"), "primary_category"))
+    primary = categories.trader_primary_category(categories.trade_categories(t.trades, t.markets))
+    past = primary.select(F.upper("trader").alias("trader"), "primary_category")
+    return categories.trade_categories(t.trades, t.markets, past)
 
 
 @query

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from fillscope import schemas
 from fillscope.functions.categories import HISTOGRAM_RULES, categorize, decode_one_hot
 from fillscope.functions.fills import implied_price
+from fillscope.functions import numeric
 from fillscope.functions.numeric import finite_or_zero, half_even, signed_log
 from fillscope.functions.times import block_epoch, utc_time
 from fillscope.operators import categories, markets, positions, stats
@@ -222,3 +223,30 @@ def test_times_ignore_the_session_zone(spark):
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
     assert tuple(row) == (1710037800, "2024-03-10 02:30:00", None, None)
+
+
+def test_exact_sums_of_longs_and_ratios(spark):
+    values = [0, 1, -1, 2**62, -(2**62), 2**42, -(2**42) - 1, 2**21, 123456789012345, -987654321098765] + [2**62] * 9
+    ratios = [0.0, 0.5, -0.25, 1e-9, 1234567.000000001, 9e15, -7.1e12, 1 / 3]
+    rows = [(v, None) for v in values] + [(None, r) for r in ratios] + [(None, None)]
+    frame = spark.createDataFrame(rows, "v long, r double").repartition(3)
+    found = frame.agg(
+        numeric.long_sum(F.col("v")).alias("v"),
+        numeric.long_sum(F.col("v"), F.col("v") < 0).alias("below"),
+        numeric.grid_sum(F.col("r")).alias("r"),
+        numeric.long_sum(F.col("v"), F.lit(False)).alias("none"),
+    ).first()
+    assert int(found.v) == sum(values) and int(found.below) == sum(v for v in values if v < 0)
+    assert int(found.r) == sum(round(r * 1e9) for r in ratios) and found.none is None
+
+
+def test_category_lookups_of_dollar_and_token_fills(spark):
+    markets = spark.createDataFrame(
+        [('["T1","T2"]', "Will bitcoin rise?", "m", "c1"), ('["U1","0"]', "Oscars night?", "m", "c2")],
+        "clob_token_ids string, question string, market_maker_address string, condition_id string",
+    )
+    pairs = [("0", "t1"), ("T2", "0"), ("T1", "U1"), ("U1", "x"), ("x", "U1"), ("x", "y"), ("0", "0"), (None, "T1"), ("T1", None), (None, None)]
+    fills = spark.createDataFrame([(i, "m", *p) for i, p in enumerate(pairs)], "log_index int, maker string, maker_asset_id string, taker_asset_id string")
+    found = {r.log_index: r.cat_by_token for r in categories.trade_categories(fills, markets).collect()}
+    crypto, pop = "Crypto", "Pop Culture"
+    assert [found[i] for i in range(10)] == [crypto, crypto, pop, pop, pop, None, None, crypto, crypto, None]
