@@ -8,6 +8,7 @@ last block hold the patterns to compare directly where the shift is zero.
 
 from __future__ import annotations
 
+import uuid
 from collections import defaultdict
 from collections.abc import Iterable, Iterator
 
@@ -57,7 +58,7 @@ class Patterns:
             position += 1
 
 
-def search_tables(items: Iterable[tuple[int, str | None]], window: int = WINDOW) -> tuple[list[Patterns], list]:
+def search_tables(items: Iterable[tuple[int | None, str | None]], window: int = WINDOW) -> tuple[list[Patterns], list]:
     """Search tables for (item id, text) rows, and the ids they refer to by position."""
     ids: list = []
     places: dict = {}
@@ -117,7 +118,7 @@ _ARROW = pa.schema(
 
 def _passes(benchmark: DataFrame, item: str, text: str, limit: int) -> Iterator[list[tuple[int, str]]]:
     """The benchmark's rows in groups of about ``limit`` words."""
-    rows = benchmark.select(benchmark[item].cast("long").alias("item"), benchmark[text].alias("text")).where("item is not null and text is not null")
+    rows = benchmark.select(benchmark[item].cast("long").alias("item"), benchmark[text].alias("text")).where("text is not null")
     total = rows.agg(F.sum(F.size(word_array(ascii_lower(F.col("text")))))).first()[0] or 0
     groups = -(-int(total) // limit)
     for k in range(groups):
@@ -137,26 +138,26 @@ def search(
 ) -> DataFrame:
     """Add a struct column ``found``: n_words, spans of hit words, and the items found.
 
-    All columns and rows of ``docs`` stay, repeated rows too. Null and empty texts have no
-    words and no hits; items without an id or without words are not searched for; rows with one
-    id are one item. Without any item there are no hits. Items are ascending.
+    All columns and rows of ``docs`` stay, repeated rows too; a column called ``name`` is replaced. Null and empty
+    texts have no words and no hits; items without words are not searched for. Rows with one
+    id are one item; words of items without an id are hit like others, but these are no items found.
+    Without any item there are no hits. Items are ascending.
     """
-    plain = docs
-    parts = []
     groups = list(_passes(benchmark, item, item_text, pass_words)) or [[]]
-    for number, rows in enumerate(groups):
-        shared = docs.sparkSession.sparkContext.broadcast(rows)
-        column = f"{name}_{number}"
-        plain = plain.withColumn(column, _finder(shared, window)(docs[text].cast("string")))
-        parts.append(F.col(column))
-    if len(parts) == 1:
-        return plain.withColumnRenamed(f"{name}_0", name)
+    body = docs[text].cast("string")
+    finders = [_finder(docs.sparkSession.sparkContext.broadcast(rows), window)(body) for rows in groups]
+    if len(finders) == 1:
+        return docs.withColumn(name, finders[0])
+    # Names that no input has.
+    own = [f"pass_{uuid.uuid4().hex}" for _ in finders]
+    plain = docs.select("*", *[finder.alias(column) for finder, column in zip(finders, own)])
+    parts = [F.col(column) for column in own]
     together = F.struct(
         parts[0]["n_words"].alias("n_words"),
         _union(F.flatten(F.array(*[p["spans"] for p in parts]))).alias("spans"),
         F.array_sort(F.array_distinct(F.flatten(F.array(*[p["items"] for p in parts])))).alias("items"),
     )
-    return plain.withColumn(name, together).drop(*[f"{name}_{i}" for i in range(len(parts))])
+    return plain.withColumn(name, together).drop(*own)
 
 
 def _union(spans):
@@ -183,7 +184,7 @@ def _finder(shared, window: int):
                 hit, which = scan(words, tables)
                 n_words.append(len(words))
                 spans.append([{"begin": a, "end": b} for a, b in hit])
-                items.append(sorted(ids[i] for i in which))
+                items.append(sorted(ids[i] for i in which if ids[i] is not None))
             yield pa.StructArray.from_arrays(
                 [pa.array(c, f.type) for c, f in zip((n_words, spans, items), _ARROW)], fields=list(_ARROW)
             )

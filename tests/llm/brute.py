@@ -131,7 +131,7 @@ def contamination(docs: list[tuple], items: list[tuple], size: int = 10) -> list
     windows = defaultdict(set)
     for item, text in items:
         w = alnum_words(text)
-        if item is None or not w:
+        if not w:
             continue
         n = min(size, len(w))
         for i in range(len(w) - n + 1):
@@ -146,7 +146,7 @@ def contamination(docs: list[tuple], items: list[tuple], size: int = 10) -> list
                 if (x := tuple(w[i : i + n])) in windows:
                     hit.update(range(i, i + n))
                     ids |= windows[x]
-        found.append((doc, len(w), hit, sorted(ids)))
+        found.append((doc, len(w), hit, sorted(ids - {None})))
     return found
 
 

@@ -178,6 +178,16 @@ def test_decontamination(spark, edge, pairs, limit):
     assert all(a.end < b.begin for r in found for a, b in zip(r.found.spans, r.found.spans[1:]))
 
 
+@pytest.mark.parametrize("limit", [decontaminate.PASS_WORDS, 20])
+def test_decontamination_beside_columns_of_its_own_names(spark, limit):
+    docs = spark.createDataFrame([(1, "one two", "kept", 5)], "doc_id long, text string, found string, found_0 int")
+    items = spark.createDataFrame(ITEMS, "item_id long, text string")
+    row = decontaminate.search(docs, items, pass_words=limit).first()
+    assert row.found_0 == 5 and row.found.n_words == 2 and [(s.begin, s.end) for s in row.found.spans] == [(0, 1)] and row.found["items"] == []
+    other = decontaminate.search(docs, items, pass_words=limit, name="hits").first()
+    assert other.found == "kept" and other.hits.n_words == 2
+
+
 def test_shift_table_skips():
     table = decontaminate.Patterns(4, {tuple(b"a b c d".split()): [0]})
     assert table.shift == {(b"a", b"b"): 2, (b"b", b"c"): 1, (b"c", b"d"): 0} and table.far == 3
