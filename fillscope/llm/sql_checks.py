@@ -104,13 +104,12 @@ def _decontaminate() -> str:
 def _top_k() -> str:
     return f"""
     WITH vectors AS (
-        SELECT vec_id, list_transform(embedding, lambda x: floor({topk.SCALE} * x::DOUBLE)) AS v FROM embeddings
-        WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
-            AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: floor({topk.SCALE} * x::DOUBLE)) AS v FROM embeddings
+        WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
     scored AS (
-        SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v)::BIGINT AS score
-        FROM vectors q JOIN vectors c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id),
-    ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored)
+        SELECT q.r, q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v)::BIGINT AS score
+        FROM vectors q JOIN vectors c ON q.vec_id % 20 = 0 AND q.r <> c.r),
+    ranked AS (SELECT *, row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id NULLS LAST) AS rank FROM scored)
     SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM ranked WHERE rank <= {topk.K}"""
 
 

@@ -12,35 +12,47 @@ the k best of each query.
 
 from __future__ import annotations
 
+import sys
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from fillscope.scale import cut_lineage
+
 K, SCALE = 20, 64
 # Rows of a block of queries and of candidates: the size of a cell, whatever the table.
 QUERY_BLOCK, CANDIDATE_BLOCK = 1024, 8192
 PIVOTS = 32
 # Candidates evaluated at once in the order of their bounds.
 STEP = 256
+# Sums of whole numbers below this are exact in doubles.
+EXACT_SUM = float(1 << 53)
+LARGEST_DOUBLE = sys.float_info.max
+NO_ID = (1 << 63) - 1
 
 
 def integer_vectors(vectors: DataFrame, key: str = "vec_id", vector: str = "embedding", scale: int = SCALE) -> DataFrame:
-    """Rows (id, vec): components floor(scale * x) as bigint.
+    """Rows (row, id, vec): a number of the row, and components floor(scale * x) as doubles, which are whole.
 
-    Rows without id or vector, and vectors with a null or non-finite component, are left out.
-    Equal rows are one.
+    Rows without vector, and vectors with a null or non-finite component, are left out. Repeated rows and rows
+    without an id are rows like others. Products beyond the range of doubles become its ends. The
+    rows are stored, so that their numbers stay.
     """
     whole = F.transform(vectors[vector], lambda x: x.cast("double"))
     fine = F.forall("raw", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
-    return (
-        vectors.select(vectors[key].cast("long").alias("id"), whole.alias("raw"))
-        .where("id is not null and raw is not null")
-        .where(fine)
-        .select("id", F.transform("raw", lambda x: F.floor(x * scale).cast("long")).alias("vec"))
-        .distinct()
-    )
+
+    def step(x):
+        product = x * F.lit(float(scale))
+        # From 2^52 on a double is whole.
+        return F.when(F.abs(product) < float(1 << 52), F.floor(product).cast("double")).otherwise(
+            F.greatest(F.lit(-LARGEST_DOUBLE), F.least(F.lit(LARGEST_DOUBLE), product))
+        )
+
+    rows = vectors.select(vectors[key].cast("long").alias("id"), whole.alias("raw")).where(F.col("raw").isNotNull()).where(fine)
+    return cut_lineage(rows.select(F.monotonically_increasing_id().alias("row"), "id", F.transform("raw", step).alias("vec")))
 
 
 def pivot_vectors(vectors: DataFrame, count: int = PIVOTS) -> np.ndarray:
@@ -64,16 +76,23 @@ def padded(vectors, width: int = 0) -> np.ndarray:
 
 
 def distances(vectors: np.ndarray, pivots: np.ndarray) -> np.ndarray:
+    """Distances by vector and pivot."""
     squares = (vectors**2).sum(1)[:, None] + (pivots**2).sum(1)[None, :] - 2 * vectors @ pivots.T
     return np.sqrt(np.maximum(squares, 0))
 
 
 def search_cell(
-    query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, rows: np.ndarray, pivots: np.ndarray, k: int
+    own: np.ndarray, queries: np.ndarray, names: np.ndarray, ids: np.ndarray, rows: np.ndarray, pivots: np.ndarray, k: int
 ) -> list[tuple[int, int, int]]:
-    """The k best (query id, id, score) of each query among the rows of one cell."""
+    """The k best rows of one cell for each query: (place of the query, place of the row, score).
+
+    ``own`` and ``names`` are the row numbers of queries and candidates: a query does not find itself.
+    Equal scores go in the order of ``ids``.
+    """
     width = max(queries.shape[1], rows.shape[1], pivots.shape[1])
     queries, rows, pivots = (np.pad(m, ((0, 0), (0, width - m.shape[1]))) for m in (queries, rows, pivots))
+    if np.abs(queries).max(initial=0) * np.abs(rows).max(initial=0) * width >= EXACT_SUM:
+        return [(q, i, s) for q, query in enumerate(queries) for i, s in large_scores(query, rows, ids, names != own[q], k)]
     to_pivots, from_queries = distances(rows, pivots), distances(queries, pivots)
     norms, query_norms = (rows**2).sum(1), (queries**2).sum(1)
     found = []
@@ -84,50 +103,85 @@ def search_cell(
         # A little slack for rounding, so that no bound is below its score.
         bounds = (query_norms[q] + norms - nearest**2) / 2
         bounds += 1e-6 * (1 + query_norms[q] + norms)
-        bounds[ids == query_ids[q]] = -np.inf
+        bounds[names == own[q]] = -np.inf
         order = np.argsort(-bounds, kind="stable")
-        best_scores, best_ids = np.zeros(0), np.zeros(0, np.int64)
+        best_scores, best = np.zeros(0), np.zeros(0, np.int64)
         for start in range(0, len(order), STEP):
             part = order[start : start + STEP]
             part = part[bounds[part] > -np.inf]
             if not len(part) or (len(best_scores) == k and bounds[part[0]] < best_scores[-1]):
                 break
             scores = np.concatenate([best_scores, rows[part] @ query])
-            names = np.concatenate([best_ids, ids[part]])
-            top = np.lexsort((names, -scores))[:k]
-            best_scores, best_ids = scores[top], names[top]
-        found += [(int(query_ids[q]), int(i), int(s)) for i, s in zip(best_ids, best_scores)]
+            places = np.concatenate([best, part])
+            top = np.lexsort((ids[places], -scores))[:k]
+            best_scores, best = scores[top], places[top]
+        found += [(q, int(i), int(s)) for i, s in zip(best, best_scores)]
     return found
 
 
+def large_scores(query: np.ndarray, rows: np.ndarray, ids: np.ndarray, allowed: np.ndarray, k: int) -> list[tuple[int, int]]:
+    """The k best (place, score) where doubles cannot hold the sums: whole numbers decide among the near best.
+
+    Vectors are scaled down first, and a bound on the rounding error tells which rows may be among the best. Scores
+    beyond the range of a long are its ends.
+    """
+    places = np.flatnonzero(allowed)
+    high, low = max(np.abs(rows).max(initial=0), 1), max(np.abs(query).max(initial=0), 1)
+    scaled, small = rows[places] / high, query / low
+    rough, error = scaled @ small, 1e-14 * len(query) * (np.abs(scaled) @ np.abs(small)) + 1e-300
+    if len(places) > k:
+        limit = np.partition(rough - error, -k)[-k]
+        places = places[rough + error >= limit]
+    whole = [int(x) for x in query]
+    ends = (1 << 63) - 1
+    scores = [max(-ends - 1, min(ends, sum(int(x) * y for x, y in zip(rows[i], whole)))) for i in places]
+    order = sorted(range(len(places)), key=lambda j: (-scores[j], ids[places[j]]))[:k]
+    return [(int(places[j]), scores[j]) for j in order]
+
+
 def top_k(vectors: DataFrame, queries: DataFrame, k: int = K, pivots: int = PIVOTS) -> DataFrame:
     """The k best candidates of each query: query_id, rank (from 1), vec_id, score.
 
-    Both tables have columns (id, vec), as ``integer_vectors`` makes them. Score: inner product; a shorter
-    vector counts as ending in zeros; ties go to the smaller id. A query's own id is no
-    candidate. Queries with fewer candidates get them all. Different vectors with one
-    id are candidates each, and as queries share a list.
+    Both tables have columns (row, id, vec), as ``integer_vectors`` makes them. Score: inner product; a shorter
+    vector counts as ending in zeros; ties go to the smaller id, none comes last. Candidates are all rows
+    but the query's own row. Queries with fewer candidates get them all. Each query row has its own list, also where rows
+    share an id.
     """
     table = pivot_vectors(vectors, pivots)
     spark = vectors.sparkSession
     shared = spark.sparkContext.broadcast(table)
     blocks = lambda df, size: max(1, -(-df.count() // size))
     n_rows, n_queries = blocks(vectors, CANDIDATE_BLOCK), blocks(queries, QUERY_BLOCK)
+    # pandas has no whole numbers with gaps: a missing id is the largest, and marked.
+    plain = [F.col("row"), F.coalesce("id", F.lit(NO_ID)).alias("id"), F.col("id").isNotNull().alias("known"), F.col("vec")]
     # Every block of queries meets every block of candidates once.
-    rows = vectors.select("id", "vec", F.pmod(F.xxhash64("id", "vec"), F.lit(n_rows)).alias("row_block"))
+    rows = vectors.select(*plain, F.pmod(F.xxhash64("row"), F.lit(n_rows)).alias("row_block"))
     rows = rows.withColumn("query_block", F.explode(F.sequence(F.lit(0), F.lit(n_queries - 1))))
-    asked = queries.select("id", "vec", F.pmod(F.xxhash64("id", "vec"), F.lit(n_queries)).alias("query_block"))
+    asked = queries.select(*plain, F.pmod(F.xxhash64("row"), F.lit(n_queries)).alias("query_block"))
     asked = asked.withColumn("row_block", F.explode(F.sequence(F.lit(0), F.lit(n_rows - 1))))
 
     def cell(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        found = []
-        if len(left) and len(right):
-            found = search_cell(
-                left["id"].to_numpy(np.int64), padded(left["vec"]), right["id"].to_numpy(np.int64), padded(right["vec"]), shared.value, k
-            )
-        return pd.DataFrame(found, columns=["query_id", "vec_id", "score"]).astype("int64")
+        columns = ["query_row", "query_id", "query_known", "id", "known", "score"]
+        if not len(left) or not len(right):
+            return pd.DataFrame([], columns=columns)
+        found = search_cell(
+            left["row"].to_numpy(np.int64),
+            padded(left["vec"]),
+            right["row"].to_numpy(np.int64),
+            right["id"].to_numpy(np.int64),
+            padded(right["vec"]),
+            shared.value,
+            k,
+        )
+        q, i, scores = (np.array([f[c] for f in found], np.int64) for c in range(3))
+        values = (left["row"], left["id"], left["known"]), (right["id"], right["known"])
+        return pd.DataFrame(dict(zip(columns, [*[v.to_numpy()[q] for v in values[0]], *[v.to_numpy()[i] for v in values[1]], scores])))
 
     keys = [F.col("query_block").cast("long"), F.col("row_block").cast("long")]
-    best = asked.groupBy(*keys).cogroup(rows.groupBy(*keys)).applyInPandas(cell, "query_id bigint, vec_id bigint, score bigint")
-    order = W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    schema = "query_row bigint, query_id bigint, query_known boolean, id bigint, known boolean, score bigint"
+    best = asked.groupBy(*keys).cogroup(rows.groupBy(*keys)).applyInPandas(cell, schema)
+    order = W.partitionBy("query_row").orderBy(F.desc("score"), "id")
+    ranked = best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    return ranked.select(
+        F.when(F.col("query_known"), F.col("query_id")).alias("query_id"), "rank", F.when(F.col("known"), F.col("id")).alias("vec_id"), "score"
+    )
