@@ -9,6 +9,8 @@ lines per document; texts never move for the search.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -62,12 +64,14 @@ def dropped_lines(
         .select("doc", "text_id", "pos", F.xxhash64("line").alias("a"), F.xxhash64(F.lit(1), "line").alias("b"))
     )
     ranged = lines.repartitionByRange("a", "b", "doc").sortWithinPartitions("a", "b", "doc", "text_id", "pos")
-    # Stored, as it is read twice: once to find common lines, once to drop them.
-    places = cut_lineage(ranged.groupBy("a", "b", "doc").agg(F.collect_set(F.struct("text_id", "pos")).alias("places")))
+    # Stored, as it is read twice: once to find common lines, once to drop them. Rows without an id, which may be
+    # many, are grouped by text: no group holds more than one document's places.
+    apart = F.when(F.col("doc").isNull(), F.col("text_id")).alias("apart")
+    places = cut_lineage(ranged.groupBy("a", "b", "doc", apart).agg(F.collect_set(F.struct("text_id", "pos")).alias("places")))
     # Stored, so that the join below meets two plain tables and can split a hot line.
     common = cut_lineage(
         places.groupBy("a", "b")
-        .agg(F.count(F.lit(1)).alias("n"), F.max("doc").alias("last"))
+        .agg((F.count("doc") + F.max(F.col("doc").isNull().cast("int"))).alias("n"), F.max("doc").alias("last"))
         .where(F.col("n") >= min_docs)
         .select("a", "b", "last")
     )
@@ -108,15 +112,16 @@ def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", **limi
     Null texts count as empty and get an empty kept_text. A document whose lines all go
     stays with an empty text. Columns of these names are replaced.
     """
-    gone = dropped_lines(docs, key, text, **limits).select(
-        F.col(key).alias("_gone_doc"), F.col("text_id").alias("_gone_text"), F.col("n_dropped").alias("_gone_n"), F.col("dropped").alias("_gone_bits")
-    )
+    # Names that no input has.
+    own = [f"{name}_{uuid.uuid4().hex}" for name in ("doc", "text", "n", "bits")]
+    found = dropped_lines(docs, key, text, **limits)
+    gone = found.select(*[F.col(c).alias(name) for c, name in zip((key, "text_id", "n_dropped", "dropped"), own)])
     body = docs[text].cast("string")
-    joined = docs.join(gone, docs[key].eqNullSafe(F.col("_gone_doc")) & (text_id(body) == F.col("_gone_text")), "left")
+    joined = docs.join(gone, docs[key].eqNullSafe(F.col(own[0])) & (text_id(body) == F.col(own[1])), "left")
     return joined.withColumns(
         {
             "n_lines": F.size(text_lines(body)).cast("long"),
-            "n_dropped": F.coalesce(F.col("_gone_n"), F.lit(0).cast("long")),
-            "kept_text": kept_text(body, F.col("_gone_bits")),
+            "n_dropped": F.coalesce(F.col(own[2]), F.lit(0).cast("long")),
+            "kept_text": kept_text(body, F.col(own[3])),
         }
-    ).drop("_gone_doc", "_gone_text", "_gone_n", "_gone_bits")
+    ).drop(*own)

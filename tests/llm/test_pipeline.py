@@ -102,3 +102,12 @@ def test_all_stages_on_awkward_documents(spark, folder):
         elif stage is not corpus_pipeline.drop_toxic and stage is not corpus_pipeline.drop_contaminated:
             assert out.count() == docs.count(), name
         docs = out
+
+
+def test_columns_of_any_name_stay(spark, folder):
+    names = ("_found", "_row", "_toxicity", "_gone_doc", "found", "found_0", "set", "n_lines")
+    docs = spark.createDataFrame([(i, f"text {i} of its own", *[f"{n}{i}" for n in names]) for i in range(5)], f"doc_id long, text string, {', '.join(n + ' string' for n in names)}")
+    docs = cut_lineage(docs)
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, folder)
+        assert out.columns == docs.columns and ordered(out.collect()) == ordered(docs.collect()), name
