@@ -7,6 +7,8 @@ No stage can be expressed in SQL as a whole, so the tests compare with brute for
 
 from __future__ import annotations
 
+import uuid
+
 import public_tokenizers
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -18,19 +20,27 @@ from fillscope.scale import cut_lineage
 MODEL = "piece_bpe_32k.model"
 
 
+def new_name(purpose: str) -> str:
+    """A column name that no input has."""
+    return f"{purpose}_{uuid.uuid4().hex}"
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose toxicity is below the limit. Labels of held-out documents teach nothing."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     model = toxicity.fit(docs, labels, F.crc32(labels["doc_id"].cast("string")) % 3 != 1)
-    return toxicity.score(docs, model, name="_toxicity").where(F.col("_toxicity") < toxicity.REJECT).select(docs.columns)
+    own = new_name("toxicity")
+    return toxicity.score(docs, model, name=own).where(F.col(own) < toxicity.REJECT).select(docs.columns)
 
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the lines they share with many; a document that loses all stays, empty."""
-    found = lines.dedup_lines(docs)
+    # Columns that the operator would replace step aside.
+    aside = {c: new_name(c) for c in docs.columns if c in ("n_lines", "n_dropped", "kept_text")}
+    found = lines.dedup_lines(docs.withColumnsRenamed(aside))
     text = {"text": F.when(F.col("n_dropped") > 0, F.col("kept_text")).otherwise(F.col("text"))}
     count = {"n_chars": F.char_length("text").cast(docs.schema["n_chars"].dataType)} if "n_chars" in docs.columns else {}
-    return found.withColumns(text).withColumns(count).select(docs.columns)
+    return found.withColumns(text).withColumns(count).select(*[F.col(aside.get(c, c)).alias(c) for c in docs.columns])
 
 
 def row_names(docs: DataFrame, name: str) -> DataFrame:
@@ -50,15 +60,17 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     The row with the smallest id stays, rows without an id come last. Rows are told apart by their place,
     not by their id: unrelated rows that share an id or have none stay, repeated rows are a group.
     """
-    named = row_names(docs, "_row")
-    gone = jaccard.surplus_rows(named, "_row")
-    return named.join(gone, "_row", "left_anti").select(docs.columns)
+    own = new_name("row")
+    named = row_names(docs, own)
+    gone = jaccard.surplus_rows(named, own)
+    return named.join(gone, own, "left_anti").select(docs.columns)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no window of a benchmark item."""
-    found = decontaminate.search(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), name="_found")
-    return found.where(F.size("_found.spans") == 0).select(docs.columns)
+    own = new_name("found")
+    found = decontaminate.search(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), name=own)
+    return found.where(F.size(F.col(own)["spans"]) == 0).select(docs.columns)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
