@@ -19,13 +19,14 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import ahocorasick
+import numpy as np
 import pyarrow as pa
 import sentencepiece
 from pyspark.sql import DataFrame
 
 SPACE = "▁"
-# Parts kept with their encoding per worker, and the longest part that is kept.
-KEPT_PARTS, KEPT_CHARS = 250_000, 32
+# Words after one space and other parts kept with their ids per worker, and the longest part that is kept.
+KEPT_WORDS, KEPT_PARTS, KEPT_CHARS = 550_000, 50_000, 32
 # A text that a normaliser other than the identity would change.
 PROBE = "  ﬁ ①  Ａ　x\tq\n\r é "
 
@@ -66,12 +67,17 @@ class Encoder:
         self.marks = "".join(c for c in "\n.,;:!?%&*$#|()[]{}<>=/+\"" if c not in after_letter)
         self.automaton = ahocorasick.Automaton()
         for piece in words:
-            self.automaton.add_word(piece, piece)
-        self.automaton.add_word(SPACE, SPACE)
+            self.automaton.add_word(piece, (len(piece), piece))
+        self.automaton.add_word(SPACE, (1, SPACE))
         self.automaton.make_automaton()
         self.compatible = lru_cache(maxsize=1 << 17)(self._compatible)
         self.run = lru_cache(maxsize=4096)(self._merge)
-        self.kept: dict[str, tuple[str, int, bytes]] = {}
+        self.cut_lines = "\n" not in self.characters
+        # Ids as text: by word, which one space comes before, and by any other part.
+        self.words: dict[str, str] = {}
+        self.kept: dict[str, str] = {}
+        # Whether some part did not decode to itself.
+        self.changes = False
 
     def _merge(self, text: str) -> tuple[str, ...]:
         """Merge characters by rank, the leftmost first among equals."""
@@ -103,23 +109,25 @@ class Encoder:
 
     def pieces(self, text: str) -> list[str]:
         """The pieces of a text whose characters all occur in the model."""
-        starting: list[list[str]] = [[] for _ in text]
-        for end, piece in self.automaton.iter(text):
-            starting[end - len(piece) + 1].append(piece)
-        failed = bytearray(len(text) // 8 + 1)
+        length = len(text)
+        starting: list[list[tuple[int, str]]] = [[] for _ in text]
+        for last, (size, piece) in self.automaton.iter(text):
+            starting[last + 1 - size].append((last + 1, piece))
+        failed = bytearray(length // 8 + 1)
+        compatible = self.compatible
         found: list[str] = []
         # For each piece taken, and for the place after it, the pieces not yet tried there.
-        position, left = 0, [len(starting[0])]
-        while position < len(text):
-            choices, previous = starting[position], found[-1] if found else ""
-            while left[-1]:
-                left[-1] -= 1
-                piece = choices[left[-1]]
-                end = position + len(piece)
-                if not failed[end >> 3] >> (end & 7) & 1 and self.compatible(previous, piece):
+        position, previous, left = 0, "", [len(starting[0])]
+        while position < length:
+            choices, untried = starting[position], left[-1]
+            while untried:
+                untried -= 1
+                end, piece = choices[untried]
+                if not failed[end >> 3] >> (end & 7) & 1 and compatible(previous, piece):
+                    left[-1] = untried
                     found.append(piece)
-                    position = end
-                    left.append(len(starting[end]) if end < len(text) else 0)
+                    position, previous = end, piece
+                    left.append(len(starting[end]) if end < length else 0)
                     break
             else:
                 if not found:
@@ -127,6 +135,7 @@ class Encoder:
                 failed[position >> 3] |= 1 << (position & 7)
                 left.pop()
                 position -= len(found.pop())
+                previous = found[-1] if found else ""
         return found
 
     def _segment(self, text: str) -> list[int]:
@@ -146,6 +155,8 @@ class Encoder:
 
     def _part(self, text: str) -> list[int]:
         """Ids of a run of spaces with the characters after it."""
+        if self.characters.issuperset(text):
+            return self._segment(text)
         ids: list[int] = []
         begin = 0
         for i, c in enumerate(text):
@@ -158,21 +169,48 @@ class Encoder:
             ids += self._segment(text[begin:])
         return ids
 
-    def _known(self, part: str) -> tuple[str, int, bytes]:
-        """Ids of a part as text, their number, and the bytes they decode to."""
+    def _ids(self, part: str) -> str:
+        """Ids of a part as text; they are decoded again to see whether they give the part."""
+        ids = self._part(part)
+        self.changes |= self.decode_bytes(ids) != part.replace(SPACE, " ").encode()
+        return ",".join(map(str, ids))
+
+    def _word(self, word: str) -> str:
+        """Ids of a word with one space before it."""
+        found = self.words.get(word)
+        if found is None:
+            base = word.rstrip(self.marks)
+            if base and base != word and base[-1].isalpha():
+                found = f"{self._word(base)},{self._known(word[len(base):])}"
+            else:
+                found = self._ids(SPACE + word)
+            if len(word) <= KEPT_CHARS and len(self.words) < KEPT_WORDS:
+                self.words[word] = found
+        return found
+
+    def _known(self, part: str) -> str:
+        """Ids of any part: marks, lines without a space before them, runs of spaces."""
         found = self.kept.get(part)
         if found is None:
-            word = part.rstrip(self.marks)
-            if word and word != part and word[-1].isalpha():
-                (a, m, x), (b, n, y) = self._known(word), self._known(part[len(word) :])
-                found = (f"{a},{b}", m + n, x + y)
+            base = part.rstrip(self.marks)
+            if base and base != part and base[-1].isalpha():
+                found = f"{self._known(base)},{self._known(part[len(base):])}"
             else:
-                ids = self._part(part)
-                found = (",".join(map(str, ids)), len(ids), self.decode_bytes(ids))
+                found = self._ids(part)
             if len(part) <= KEPT_CHARS and len(self.kept) < KEPT_PARTS:
                 self.kept[part] = found
         return found
 
+    def _cut(self, spaces: str, word: str) -> str:
+        """Ids of spaces and a word, which may hold line ends."""
+        head, *lines = word.split("\n") if self.cut_lines else [word]
+        found = [self._known(spaces + SPACE + head) if spaces or not head else self._word(head)]
+        for line in lines:
+            found.append(self._known("\n"))
+            if line:
+                found.append(self._known(line))
+        return ",".join(found)
+
     def parts(self, text: str) -> list[str]:
         """Cut a text before each run of spaces and around line ends."""
         marked = (SPACE + text).replace(" ", SPACE)
@@ -197,14 +235,26 @@ class Encoder:
         return found
 
     def encode_text(self, text: str | None) -> tuple[str, int, str]:
-        """Comma-joined ids, their number, and the decoded text."""
+        """Comma-joined ids, their number, and the decoded text.
+
+        Every part is decoded when it is first met. As long as each gave itself again, so does the text.
+        """
         if not text:
             return "", 0, ""
-        kept, parts = self.kept, self.parts(text)
-        known = [kept.get(p) or self._known(p) for p in parts]
-        # The first space is the model's own mark of the beginning.
-        decoded = b"".join([k[2] for k in known])[1:].decode("utf-8", "replace")
-        return ",".join([k[0] for k in known]), sum([k[1] for k in known]), decoded
+        plain = text.replace(SPACE, " ")
+        get, found, spaces = self.words.get, [], ""
+        for word in plain.split(" "):
+            if not word:
+                spaces += SPACE
+            elif spaces:
+                found.append(self._cut(spaces, word))
+                spaces = ""
+            else:
+                found.append(get(word) or self._cut("", word))
+        if spaces:
+            found.append(self._known(spaces))
+        joined = ",".join(found)
+        return joined, joined.count(",") + 1, self.decode(self.encode(text)) if self.changes else plain
 
     def encode(self, text: str | None) -> list[int]:
         """Ids of a text; none for a null or empty text."""
@@ -244,9 +294,11 @@ def encode_documents(docs: DataFrame, model_path: str, key: str = "doc_id", text
             for row in range(0, batch.num_rows, 256):
                 piece = batch.slice(row, 256)
                 found = [coder.encode_text(t) for t in piece.column(1).to_pylist()]
-                ids = [[int(i) for i in k.split(",")] if k else [] for k, _, _ in found]
+                joined = ",".join([k for k, _, _ in found if k])
+                ids = pa.array(joined.split(",") if joined else [], pa.string()).cast(pa.int32())
+                ends = np.concatenate([[0], np.cumsum([n for _, n, _ in found])]).astype(np.int32)
                 yield pa.record_batch(
-                    [piece.column(0), pa.array(ids, pa.list_(pa.int32())), pa.array([d for _, _, d in found], pa.string())],
+                    [piece.column(0), pa.ListArray.from_arrays(pa.array(ends), ids), pa.array([d for _, _, d in found], pa.string())],
                     names=["key", "ids", "decoded"],
                 )
 
