@@ -14,8 +14,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fillscope import schemas
-from fillscope.functions.numeric import half_even, hash_bucket
-from fillscope.operators import categories, clusters, features, markets, points, positions, stats, subset
+from fillscope.functions.numeric import half_even, hash_bucket, is_finite
+from fillscope.operators import categories, clusters, features, markets, neighbours, points, positions, stats, subset
 from fillscope.scale import cut_lineage, shared_folder
 from fillscope.sources import catalog, layouts, readers, sinks
 from fillscope.sources.sample_tables import SampleTables, derive_trades
@@ -418,6 +418,21 @@ def projection_check(t: SampleTables) -> DataFrame:
     )
 
 
+@query
+def layout_check(t: SampleTables) -> DataFrame:
+    """What SQL knows of the neighbour layout: a place for all, and truer neighbourhoods than the projection has."""
+    vectors = cut_lineage(features.feature_vectors(features.scaled_features(cut_lineage(_updated(t)))))
+    placed = cut_lineage(neighbours.neighbour_layout(vectors))
+    trusted = neighbours.trustworthiness(vectors, placed, ("place_1", "place_2"))
+    projected = neighbours.trustworthiness(vectors, cut_lineage(features.project(vectors)), ("proj_1", "proj_2"))
+    finite = is_finite(F.col("place_1")) & is_finite(F.col("place_2"))
+    return placed.agg(
+        F.count_if(finite).alias("n"),
+        F.countDistinct("trader").alias("traders"),
+        F.lit(trusted > projected).alias("truer_than_projection"),
+    )
+
+
 def _fitted(t: SampleTables) -> tuple[DataFrame, DataFrame]:
     """Updated metrics, and the fitted label and place of every trader, both stored."""
     updated = cut_lineage(_updated(t))
