@@ -27,9 +27,11 @@ K, SCALE = 20, 64
 QUERY_BLOCK, CANDIDATE_BLOCK = 1024, 8192
 PIVOTS = 32
 # Candidates evaluated at once in the order of their bounds.
-STEP = 256
-# Sums of whole numbers below this are exact in doubles.
-EXACT_SUM = float(1 << 53)
+STEP, LATER_STEP = 256, 2048
+# Queries of a cell whose bounds are held at once.
+QUERIES_AT_ONCE = 32
+# Sums of whole numbers below these are exact in doubles and in single precision.
+EXACT_SUM, EXACT_SINGLE_SUM = float(1 << 53), float(1 << 24)
 LARGEST_DOUBLE = sys.float_info.max
 NO_ID = (1 << 63) - 1
 
@@ -93,32 +95,63 @@ def search_cell(
     queries, rows, pivots = (np.pad(m, ((0, 0), (0, width - m.shape[1]))) for m in (queries, rows, pivots))
     if np.abs(queries).max(initial=0) * np.abs(rows).max(initial=0) * width >= EXACT_SUM:
         return [(q, i, s) for q, query in enumerate(queries) for i, s in large_scores(query, rows, ids, names != own[q], k)]
-    to_pivots, from_queries = distances(rows, pivots), distances(queries, pivots)
-    norms, query_norms = (rows**2).sum(1), (queries**2).sum(1)
+    if np.abs(queries).max(initial=0) * np.abs(rows).max(initial=0) * width < EXACT_SINGLE_SUM:
+        scored_rows, scored_queries = rows.astype(np.float32), queries.astype(np.float32)
+    else:
+        scored_rows, scored_queries = rows, queries
+    # Bounds in single precision; a little slack for rounding, so that no bound is below its score.
+    to_pivots = np.ascontiguousarray(distances(rows, pivots).T, np.float32)
+    from_queries = distances(queries, pivots).astype(np.float32)
+    norms, query_norms = (rows**2).sum(1).astype(np.float32), (queries**2).sum(1).astype(np.float32)
     found = []
-    for q, query in enumerate(queries):
-        nearest = np.zeros(len(rows))
+    for start in range(0, len(queries), QUERIES_AT_ONCE):
+        some = slice(start, start + QUERIES_AT_ONCE)
+        nearest = np.zeros((len(queries[some]), len(rows)), np.float32)
+        gap = np.empty_like(nearest)
         for p in range(len(pivots)):
-            np.maximum(nearest, np.abs(to_pivots[:, p] - from_queries[q, p]), out=nearest)
-        # A little slack for rounding, so that no bound is below its score.
-        bounds = (query_norms[q] + norms - nearest**2) / 2
-        bounds += 1e-6 * (1 + query_norms[q] + norms)
-        bounds[names == own[q]] = -np.inf
-        order = np.argsort(-bounds, kind="stable")
-        best_scores, best = np.zeros(0), np.zeros(0, np.int64)
-        for start in range(0, len(order), STEP):
-            part = order[start : start + STEP]
-            part = part[bounds[part] > -np.inf]
-            if not len(part) or (len(best_scores) == k and bounds[part[0]] < best_scores[-1]):
-                break
-            scores = np.concatenate([best_scores, rows[part] @ query])
-            places = np.concatenate([best, part])
-            top = np.lexsort((ids[places], -scores))[:k]
-            best_scores, best = scores[top], places[top]
-        found += [(q, int(i), int(s)) for i, s in zip(best, best_scores)]
+            np.subtract(to_pivots[p][None, :], from_queries[some, p][:, None], out=gap)
+            np.maximum(nearest, np.abs(gap, out=gap), out=nearest)
+        sizes = query_norms[some][:, None] + norms[None, :]
+        all_bounds = (sizes - nearest**2) / 2 + 1e-5 * (1 + sizes)
+        for q, bounds in enumerate(all_bounds, start):
+            bounds[names == own[q]] = -np.inf
+            found += [(q, i, s) for i, s in best_of(scored_queries[q], scored_rows, ids, bounds, k)]
     return found
 
 
+def best_of(query: np.ndarray, rows: np.ndarray, ids: np.ndarray, bounds: np.ndarray, k: int) -> list[tuple[int, int]]:
+    """The k best (place, score) of one query: candidates in the order of their bounds, until the next bound is
+    below the k-th score. Later steps are longer, and sort only candidates that may still matter."""
+    scores, best = np.zeros(0), np.zeros(0, np.int64)
+    limit, size, done = -np.inf, STEP, None
+    order = np.argpartition(-bounds, STEP)[:STEP] if len(bounds) > STEP else np.arange(len(bounds))
+    order = order[np.argsort(-bounds[order])]
+    at = 0
+    while True:
+        if at >= len(order):
+            if done is not None or len(bounds) <= STEP:
+                break
+            # What the first step left: everything whose bound reaches the k-th score.
+            done = np.zeros(len(bounds), bool)
+            done[order] = True
+            order = np.flatnonzero(~done & (bounds >= limit))
+            order, at, size = order[np.argsort(-bounds[order])], 0, LATER_STEP
+            continue
+        part = order[at : at + size]
+        at += size
+        part = part[bounds[part] > -np.inf]
+        if not len(part) or bounds[part[0]] < limit:
+            break
+        fresh = rows[part] @ query
+        may = fresh >= limit
+        scores, best = np.concatenate([scores, fresh[may]]), np.concatenate([best, part[may]])
+        top = np.lexsort((ids[best], -scores))[:k]
+        scores, best = scores[top], best[top]
+        if len(best) == k:
+            limit = scores[-1]
+    return [(int(i), int(s)) for i, s in zip(best, scores)]
+
+
 def large_scores(query: np.ndarray, rows: np.ndarray, ids: np.ndarray, allowed: np.ndarray, k: int) -> list[tuple[int, int]]:
     """The k best (place, score) where doubles cannot hold the sums: whole numbers decide among the near best.
 
