@@ -14,6 +14,7 @@ import sys
 import time
 
 from fillscope.plans.registry import QUERIES
+from fillscope.scale import stages
 from fillscope.session import local_session
 
 HEADLINE = (
@@ -45,6 +46,14 @@ HEADLINE = (
     "kmeans_check",
     "projection_check",
     "clustered_traders",
+    "bucketed_positions",
+    "address_index",
+    "trades_of_days",
+    "trader_counts_loaded",
+    "reject_counts",
+    "nth_fill",
+    "dataset_profile",
+    "layout_check",
 )
 
 
@@ -60,9 +69,10 @@ def main() -> None:
         times = []
         for attempt in range(runs + 1):
             start = time.perf_counter()
-            QUERIES[name](spark, folder).write.mode("overwrite").format("noop").save()
-            if attempt:
-                times.append(time.perf_counter() - start)
+            with stages(spark):
+                QUERIES[name](spark, folder).write.mode("overwrite").format("noop").save()
+                if attempt:
+                    times.append(time.perf_counter() - start)
         seconds[name] = round(statistics.median(times), 3)
         print(f"{name} {seconds[name]}", file=sys.stderr, flush=True)
     print(

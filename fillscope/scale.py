@@ -11,7 +11,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
@@ -60,15 +61,28 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def drop_stages(spark: SparkSession) -> int:
-    """Delete the stored stages of this process; call it when their results are no longer read."""
+def drop_stages(spark: SparkSession, keep: int = 0) -> int:
+    """Delete the stored stages of this process beyond the first ``keep``; call it when nothing reads them any more."""
     dropped = 0
-    while _stages:
+    while len(_stages) > keep:
         path = spark._jvm.org.apache.hadoop.fs.Path(_stages.pop())
         dropped += bool(path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True))
     return dropped
 
 
+@contextmanager
+def stages(spark: SparkSession) -> Iterator[None]:
+    """A scope for stored stages: those made inside are deleted at its end, also after an error.
+
+    Results must be written or collected inside the scope, since queries read their stages only then.
+    """
+    before = len(_stages)
+    try:
+        yield
+    finally:
+        drop_stages(spark, before)
+
+
 def lookup_join(facts: DataFrame, dimension: DataFrame, on: str | Sequence[str], how: str = "inner") -> DataFrame:
     """Join a large table (kept on the left) with a smaller one.
 

@@ -205,3 +205,18 @@ def test_types_survive_the_index(spark, small, tmp_path):
     layouts.store_address_index(trades, str(tmp_path / "i"), files=2)
     kept = spark.read.parquet(str(tmp_path / "i"))
     assert T.StructType([kept.schema[f.name] for f in schemas.TRADES]) == schemas.TRADES
+
+
+def test_stages_end_with_their_scope(spark):
+    outer = scale.cut_lineage(spark.range(3))
+    with scale.stages(spark):
+        inner = scale.cut_lineage(outer.where("id > 0"))
+        assert inner.count() == 2
+        path = scale._stages[-1]
+    assert outer.count() == 3 and path not in scale._stages
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        spark.read.parquet(path)
+    with pytest.raises(ValueError), scale.stages(spark):
+        scale.cut_lineage(spark.range(1))
+        raise ValueError
+    assert outer.count() == 3
