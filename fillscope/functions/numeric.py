@@ -54,6 +54,12 @@ def grid_sum(value: Column, where: Column | None = None) -> Column:
     return _digit_sum(high, rest, where)
 
 
+def grid_mean(value: Column, where: Column | None = None) -> Column:
+    """Mean of a ratio, independent of row order (see RATIO_GRID)."""
+    count = F.count(value) if where is None else F.count(F.when(where, value))
+    return grid_sum(value, where).cast("double") / RATIO_GRID / count
+
+
 def rounded_away(integers: Column, unit: int) -> Column:
     """Whole units of an integer that is not negative, ties away from zero."""
     shifted = integers.cast("decimal(38,0)") + F.lit(unit // 2)

@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import Window as W
+from pyspark.sql import types as T
 from pyspark.sql import functions as F
 
 from fillscope.functions import fills
@@ -13,7 +18,7 @@ from fillscope.functions.numeric import long_sum
 from fillscope.functions.times import block_epoch, utc_time
 from fillscope.operators.markets import DEFAULT_THRESHOLD, expand_markets, token_dimension, tokens
 from fillscope.operators.subset import trades_of
-from fillscope.scale import lookup_join, shared_folder, spread_by_order
+from fillscope.scale import cut_lineage, lookup_join, shared_folder, spread_width
 
 
 def trades_with_time(trades: DataFrame, blocks: DataFrame) -> DataFrame:
@@ -271,33 +276,56 @@ def _running_order() -> list[Column]:
 def running_profit(rows: DataFrame) -> DataFrame:
     """Add ``profit`` and ``running_profit`` per user in descending block order.
 
-    The running total is built from slices of the ordered rows: totals per user and
-    slice, their small prefix sums, then a running sum inside each slice. No user's
-    history is sorted in one task, however active the user is.
+    Rows are range-partitioned and sorted by user and order, and each task adds up its own stretch of them as
+    they pass, so no user's history is sorted in one task, however active the user is. Only users
+    who go on in a later slice, at most one per slice, need what earlier slices hold of them.
     """
-    sliced = spread_by_order(rows, [F.col("user"), *_running_order()])
-    totals = sliced.groupBy("user", "slice").agg(F.sum("profit_units").alias("slice_units"))
+    spark = rows.sparkSession
+    order = [F.col("user"), *_running_order(), F.col("_tie")]
+    numbered = rows.withColumn("_tie", F.monotonically_increasing_id())
+    ranged = numbered.repartitionByRange(spread_width(spark), *order).sortWithinPartitions(*order)
+    sliced = ranged.drop("_tie").withColumn("slice", F.spark_partition_id())
+    # The cut points are sampled, so the slices are stored before use.
+    summed = cut_lineage(sliced.mapInArrow(_summed_by_user, T.StructType([*sliced.schema, T.StructField("so_far", T.LongType())])))
+    totals = summed.groupBy("user", "slice").agg(F.sum("profit_units").alias("slice_units"))
     earlier = W.partitionBy("user").orderBy("slice").rowsBetween(W.unboundedPreceding, -1)
-    offsets = totals.select(
-        "user", "slice", F.coalesce(F.sum("slice_units").over(earlier), F.lit(0)).alias("before")
-    )
-    inside = W.partitionBy("user", "slice").orderBy(*_running_order()).rowsBetween(
-        W.unboundedPreceding, W.currentRow
-    )
-    running = F.sum("profit_units").over(inside)
+    before = totals.select("user", "slice", F.sum("slice_units").over(earlier).alias("before"))
+    # One row per slice at most; its stored size lets Spark broadcast it.
+    offsets = cut_lineage(before.where(F.col("before").isNotNull()))
     return (
-        sliced.withColumn("units_so_far", running)
-        .join(offsets, ["user", "slice"])
+        summed.join(offsets, ["user", "slice"], "left")
         .withColumns(
             {
                 "profit": F.col("profit_units") / fills.UNIT,
-                "running_profit": (F.col("before") + F.col("units_so_far")) / fills.UNIT,
+                "running_profit": (F.coalesce("before", F.lit(0).cast("long")) + F.col("so_far")) / fills.UNIT,
             }
         )
-        .drop("slice", "before", "units_so_far", "profit_units")
+        .drop("slice", "before", "so_far", "profit_units")
     )
 
 
+def _summed_by_user(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Add the running sum of ``profit_units`` within each stretch of rows of one user."""
+    last, carried = None, 0
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        users = batch.column("user")
+        units = batch.column("profit_units").to_numpy(zero_copy_only=False)
+        fresh = np.ones(len(units), bool)
+        fresh[1:] = pc.not_equal(users.slice(1), users.slice(0, len(users) - 1)).to_numpy(zero_copy_only=False)
+        fresh[0] = users[0].as_py() != last
+        total = np.cumsum(units)
+        if np.abs(np.cumsum(units.astype(np.float64))).max() + abs(carried) > 9e18:
+            raise OverflowError("a running profit exceeds 64 bits")
+        starts = np.flatnonzero(fresh)
+        stretch = np.cumsum(fresh) - 1
+        base = np.concatenate([[-carried], (total - units)[starts]])
+        so_far = total - base[stretch + 1]
+        last, carried = users[len(users) - 1].as_py(), int(so_far[-1])
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(so_far)], names=[*batch.schema.names, "so_far"])
+
+
 def total_profit(rows: DataFrame) -> DataFrame:
     """Sum of profit per user over the profit rows."""
     total = long_sum(F.col("profit_units")).cast("double") / fills.UNIT
