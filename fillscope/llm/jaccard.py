@@ -5,7 +5,10 @@ Documents with one set of shingles are one set from the start. A global order of
 that reach the threshold share a shingle of their prefixes. Candidates are taken in two
 ways: first near copies meet a few leaders of their shingles, and what links
 is contracted; then all pairs of different components that share prefix shingles, enough of
-them for the threshold. Overlaps of candidates are counted by vertical partitioning: the shingle order is cut into
+them for the threshold. Around a large group of near copies lie others that are too far from it to link. They
+share most shingles with all of the group, and would meet it pair by pair; such a family is
+compared by its differences from one of its sets instead, which hardly two of them share.
+Overlaps of candidates are counted by vertical partitioning: the shingle order is cut into
 fragments, a fragment's overlaps are counted on their own and summed per pair.
 """
 
@@ -32,6 +35,8 @@ FRAGMENT_BITS = 2
 # Sets with this share of their prefix in other sets' prefixes are taken for near copies at first;
 # so many of their shingles name leaders, and so many leaders each set meets, by turn.
 ALIKE, SKETCH, LEADERS = 0.4, 8, (1, 4, 4)
+# A prefix shingle of so many sets is crowded: its sets meet as families.
+CROWD = 64
 # Bits of the filter that keeps shingles of other sets from moving; a full filter keeps none back.
 FILTER_BITS = 24
 
@@ -228,6 +233,15 @@ def _possible(a: str, b: str, percent: int):
     return (F.col(a) * 100 >= F.col(b) * percent) & (F.col(b) * 100 >= F.col(a) * percent)
 
 
+def _enough(both, na, nb, percent: int):
+    """Whether sets of sizes na and nb whose prefixes share ``both`` shingles can reach the threshold.
+
+    They share these, and at most all that is left of one set behind its prefix.
+    """
+    spare = F.greatest(*[F.ceil(n * percent / 100) - 1 for n in (na, nb)])
+    return (both + spare) * (100 + percent) >= (na + nb) * percent
+
+
 def near_duplicates(
     docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = WORDS, percent: int = PERCENT
 ) -> DataFrame:
@@ -278,41 +292,44 @@ def _grouped(texts: DataFrame, words: int, percent: int) -> tuple[DataFrame, Dat
         .where("leader != last")
         .select("shingle", "set", "n")
     )
-    found, labels = _star_links(texts, sets, postings, words, percent)
+    found, labels, parts = _star_links(texts, sets, postings, words, percent)
 
     # All pairs of different components that share prefix shingles.
     named = postings.join(labels.withColumnsRenamed({"node": "set", "component": "c"}), "set", "left").select(
         "shingle", "set", "n", F.coalesce("c", "set").alias("c")
     )
-    groups = named.groupBy("shingle", "c").agg(F.count(F.lit(1)).alias("rows"))
-    mixed = groups.groupBy("shingle").agg(F.count(F.lit(1)).alias("groups"), F.max(F.struct("rows", "c")).alias("most")).where("groups > 1")
-    mixed = cut_lineage(named.join(mixed.select("shingle", F.col("most.c").alias("most")), "shingle"))
-    # Only the rows outside a shingle's largest component look for partners.
-    few = mixed.where("c != most").select("shingle", F.col("set").alias("a"), F.col("n").alias("na"), F.col("c").alias("ca"))
-    all_ = mixed.select("shingle", F.col("set").alias("b"), F.col("n").alias("nb"), F.col("c").alias("cb"), "most")
-    spare = F.greatest(*[F.ceil(F.col(n) * percent / 100) - 1 for n in ("na", "nb")])
+    named = cut_lineage(_able(_mixed(named, "c"), percent))
+    family = _families(named, parts)
+    inside, centred = _pairs_in_families(family, parts, percent)
+    # Families are done; for the others a component is a group of its own.
+    grouped = named.join(family.select("set", "f"), "set", "left").select(
+        "shingle", "set", "n", "c", "shared", F.struct(F.col("f").isNotNull().alias("family"), F.coalesce("f", "c").alias("name")).alias("g")
+    )
+    mixed = cut_lineage(_mixed(grouped, "g").drop("rows", "low", "high"))
     second = (
-        few.join(all_, "shingle")
-        .where((F.col("ca") != F.col("cb")) & ((F.col("cb") == F.col("most")) | (F.col("a") < F.col("b"))) & _possible("na", "nb", percent))
-        .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), F.when(F.col("a") < F.col("b"), F.col("na")).otherwise(F.col("nb")).alias("na"), F.when(F.col("a") < F.col("b"), F.col("nb")).otherwise(F.col("na")).alias("nb"))
+        _met_by_shingle(mixed, percent)
         .groupBy("a", "b", "na", "nb")
         .agg(F.count(F.lit(1)).alias("both"))
-        # What the prefixes share, and all that is left of one set behind its prefix.
-        .where((F.col("both") + spare) * (100 + percent) >= (F.col("na") + F.col("nb")) * percent)
+        .where(_enough(F.col("both"), F.col("na"), F.col("nb"), percent))
     )
+    found = found.union(centred)
+    second = second.union(inside)
     second = cut_lineage(second)
     # The partner with most in common comes first, on either side; who links with it needs no other
     # partner in that component. Then all pairs of what are still different components.
     whole = F.struct("both", "a", "b", "na", "nb")
     best = [second.groupBy(side).agg(F.max(whole).alias("best")).select("best.a", "best.b", "best.na", "best.nb") for side in ("a", "b")]
     nearest = cut_lineage(best[0].union(best[1]).distinct())
-    found = found.union(cut_lineage(_linked(texts, sets, nearest, words, percent)))
+    # Every set of a pair is in one of its nearest pairs.
+    wanted = sets.join(nearest.select(F.col("a").alias("set")).union(nearest.select("b")).distinct(), "set", "left_semi")
+    parts = cut_lineage(fragments(texts, cut_lineage(wanted), words))
+    found = found.union(cut_lineage(links(nearest, parts, percent)))
     labels = components(found)
     sides = [labels.select(F.col("node").alias(s), F.col("component").alias("c" + s)) for s in ("a", "b")]
     apart = F.coalesce("ca", "a") != F.coalesce("cb", "b")
     rest = second.join(sides[0], "a", "left").join(sides[1], "b", "left").where(apart).select("a", "b", "na", "nb")
     rest = cut_lineage(rest.join(nearest.select("a", "b"), ["a", "b"], "left_anti"))
-    more = cut_lineage(_linked(texts, sets, rest, words, percent))
+    more = cut_lineage(links(rest, parts, percent))
     labels = components(found.union(more))
 
     named_sets = sets.join(labels.withColumnsRenamed({"node": "set", "component": "c"}), "set", "left").select(
@@ -321,8 +338,8 @@ def _grouped(texts: DataFrame, words: int, percent: int) -> tuple[DataFrame, Dat
     return members, named_sets
 
 
-def _star_links(texts: DataFrame, sets: DataFrame, postings: DataFrame, words: int, percent: int) -> tuple[DataFrame, DataFrame]:
-    """Links of sets to leaders, and the components they make.
+def _star_links(texts: DataFrame, sets: DataFrame, postings: DataFrame, words: int, percent: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Links of sets to leaders, the components they make, and the fragments of the sets that met leaders.
 
     This spares the pairs within groups of near copies: sets with mostly shared prefixes meet a
     few leaders of some of their shingles (those first in hash order), in turns with
@@ -366,9 +383,156 @@ def _star_links(texts: DataFrame, sets: DataFrame, postings: DataFrame, words: i
         fresh = cut_lineage(links(pairs, parts, percent))
         found = fresh if found is None else found.union(fresh)
         labels = components(found)
-    return found, labels
+    return found, labels, parts
+
+
+def _in_order() -> list:
+    """Columns a, b, na, nb with the smaller set first."""
+    first = F.col("a") < F.col("b")
+    return [
+        F.least("a", "b").alias("a"),
+        F.greatest("a", "b").alias("b"),
+        F.when(first, F.col("na")).otherwise(F.col("nb")).alias("na"),
+        F.when(first, F.col("nb")).otherwise(F.col("na")).alias("nb"),
+    ]
+
+
+def _mixed(postings: DataFrame, group: str) -> DataFrame:
+    """The rows whose shingle several groups hold, with its largest group (most), number of sets (rows) and their sizes (low, high)."""
+    sizes = postings.groupBy("shingle", group).agg(F.count(F.lit(1)).alias("size"), F.min("n").alias("low"), F.max("n").alias("high"))
+    held = (
+        sizes.groupBy("shingle")
+        .agg(
+            F.count(F.lit(1)).alias("groups"), F.sum("size").alias("rows"), F.max(F.struct("size", group)).alias("most"),
+            F.min("low").alias("low"), F.max("high").alias("high"),
+        )
+        .where("groups > 1")
+    )
+    return postings.join(held.select("shingle", F.col(f"most.{group}").alias("most"), "rows", "low", "high"), "shingle")
+
+
+def _able(mixed: DataFrame, percent: int) -> DataFrame:
+    """The rows of ``mixed`` that may serve a pair, with the number of rows of their set (shared).
+
+    Sets of sizes near each other must share a good part of their prefixes. A set with fewer rows can reach
+    only sets much smaller or larger, and leaves the shingles that have none of these.
+    """
+    counts = mixed.groupBy("set").agg(F.count(F.lit(1)).alias("shared"))
+    # Without the rounding of _enough, the demand falls steadily towards both ends of the sizes.
+    ends = [
+        (100 * F.col("shared") + percent * F.greatest("n", end)) * (100 + percent) >= 100 * percent * (F.col("n") + F.col(end)) for end in ("low", "high")
+    ]
+    return mixed.join(counts, "set").where(ends[0] | ends[1]).drop("low", "high")
+
+
+def _met_by_shingle(mixed: DataFrame, percent: int) -> DataFrame:
+    """A row (a, b, na, nb) for each shingle of ``mixed`` that two sets of different groups and components share."""
+    # Only the rows outside a shingle's largest group look for partners.
+    few, all_ = [
+        mixed.select("shingle", *[F.col(x).alias(y) for x, y in zip(("set", "n", "c", "g", "shared"), names)], "most")
+        for names in (("a", "na", "ca", "ga", "shared_a"), ("b", "nb", "cb", "gb", "shared_b"))
+    ]
+    few = few.where("ga != most").drop("most")
+    apart = (F.col("ga") != F.col("gb")) & (F.col("ca") != F.col("cb")) & _possible("na", "nb", percent)
+    able = _enough(F.least("shared_a", "shared_b"), F.col("na"), F.col("nb"), percent)
+    return (
+        few.join(all_, "shingle")
+        .where(apart & able & ((F.col("gb") == F.col("most")) | (F.col("a") < F.col("b"))))
+        .select(*_in_order())
+    )
 
 
-def _linked(texts: DataFrame, sets: DataFrame, pairs: DataFrame, words: int, percent: int) -> DataFrame:
-    wanted = sets.join(pairs.select(F.col("a").alias("set")).union(pairs.select("b")).distinct(), "set", "left_semi")
-    return links(pairs, fragments(texts, cut_lineage(wanted), words), percent)
+def _families(named: DataFrame, parts: DataFrame) -> DataFrame:
+    """Rows (set, n, c, f) of the sets with fragments that hold crowded shingles: f is the component these mostly belong to.
+
+    Only families of several components are kept. Any choice of families is right; this one keeps
+    differences small.
+    """
+    votes = named.where(F.col("rows") >= CROWD).groupBy("set", "n", "c", "most").agg(F.count(F.lit(1)).alias("votes"))
+    chosen = votes.groupBy("set", "n", "c").agg(F.max(F.struct("votes", "most")).alias("best")).select("set", "n", "c", F.col("best.most").alias("f"))
+    chosen = cut_lineage(chosen.join(parts.select("set").distinct(), "set", "left_semi"))
+    several = chosen.groupBy("f").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low != high").select("f")
+    return cut_lineage(chosen.join(several, "f").select("set", "n", "c", "f"))
+
+
+def _met_by_difference(sought: DataFrame, taken: DataFrame, percent: int) -> DataFrame:
+    """A row for each element of ``taken`` (of sets b) that a set a of another component seeks in the same family.
+
+    ``left_a`` and ``left_b`` count a set's elements from this one on in one order of all. The first element
+    that two sets share leaves both enough for all that they must share.
+    """
+    once = ~F.col("back") | (F.col("sa") > F.col("sb")) | ((F.col("sa") == F.col("sb")) & (F.col("a") > F.col("b")))
+    able = 2 * (100 + percent) * F.least("left_a", "left_b") >= F.col("sa") + F.col("sb")
+    return sought.join(taken, ["f", "shingle"]).where((F.col("ca") != F.col("cb")) & once & able & _possible("na", "nb", percent))
+
+
+def _pairs_in_families(family: DataFrame, parts: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Candidates (a, b, na, nb, both) of different components in one family, and the links (a, b) to the families' centres.
+
+    Let D(x) be the difference of x from the centre, d(x) its size, and S(x) = (100 + percent) d(x) - (100 - percent) n(x).
+    Two sets link when 2 (100 + percent) |D(o) & D(x)| >= S(o) + S(x). A set o that
+    does not link with the centre has S(o) > (100 - percent) n(centre), so what x must share with it is more than
+    about half of D(x): o finds x by an element early in D(x), where those come first that the fewest such
+    sets have. Of two sets of different components one at least does not link with the
+    centre; if neither does, the one with the larger S finds the other.
+    """
+    parts = cut_lineage(parts.join(family.select("set"), "set", "left_semi"))
+    # The centre is the set closest to all others, by one fragment.
+    rows = family.join(parts.where("fragment = 0"), "set").select("f", "set", F.explode("shingles").alias("shingle"))
+    holders = rows.groupBy("f", "shingle").agg(F.count(F.lit(1)).alias("holders"))
+    sizes = family.groupBy("f").agg(F.count(F.lit(1)).alias("size"))
+    sums = rows.join(holders, ["f", "shingle"]).groupBy("set").agg(F.sum("holders").alias("held"), F.count(F.lit(1)).alias("own"))
+    centres = (
+        family.join(sums, "set", "left")
+        .join(sizes, "f")
+        .withColumn("gain", 2 * F.col("held") - F.col("size") * F.col("own"))
+        .groupBy("f")
+        .agg(F.max(F.struct(F.coalesce("gain", F.lit(0)).alias("gain"), "set", "n", "c")).alias("centre"))
+        .select("f", F.col("centre.set").alias("centre"), F.col("centre.n").alias("n_centre"), F.col("centre.c").alias("c_centre"))
+    )
+    centres = cut_lineage(centres)
+
+    every = F.explode(F.sequence(F.lit(0), F.lit((1 << FRAGMENT_BITS) - 1))).alias("fragment")
+    of_centre = centres.select("f", F.col("centre").alias("set")).join(parts, "set").select("f", "fragment", F.col("shingles").alias("of_centre"))
+    none = F.array().cast("array<bigint>")
+    differences = (
+        family.join(centres, "f")
+        .select("*", every)
+        .join(parts, ["set", "fragment"], "left")
+        .join(of_centre, ["f", "fragment"], "left")
+        .withColumns({"shingles": F.coalesce("shingles", none), "of_centre": F.coalesce("of_centre", none)})
+        .select(
+            "f", "set", "n", "c", "centre", "n_centre", "c_centre",
+            F.concat(F.array_except("shingles", "of_centre"), F.array_except("of_centre", "shingles")).alias("apart"),
+        )
+    )
+    differences = cut_lineage(differences)
+    scale = 100 + percent
+    distances = differences.groupBy("f", "set", "n", "c", "centre", "n_centre", "c_centre").agg(F.sum(F.size("apart")).alias("d"))
+    distances = distances.withColumn("s", scale * F.col("d") - (100 - percent) * F.col("n"))
+    limit = (100 - percent) * F.col("n_centre")
+    beyond = F.col("s") - limit
+    seeks = (F.col("c") != F.col("c_centre")) & (beyond > 0)
+    other = F.when(seeks, F.col("s")).otherwise(limit + 1)
+    distances = cut_lineage(distances.withColumns({"seeks": seeks, "least": F.ceil((F.col("s") + other) / (2 * scale))}))
+    centred = distances.where((F.col("c") != F.col("c_centre")) & (beyond <= 0)).select(F.col("set").alias("a"), F.col("centre").alias("b"))
+    centred = cut_lineage(centred)
+
+    elements = differences.select("set", F.explode("apart").alias("shingle"))
+    sought = elements.join(distances.where("seeks").select("f", "set", "n", "c", "s"), "set")
+    sought = cut_lineage(sought.select("f", "shingle", *[F.col(x).alias(y) for x, y in zip(("set", "n", "c", "s"), ("a", "na", "ca", "sa"))]))
+    known = cut_lineage(sought.groupBy("f", "shingle").agg(F.count(F.lit(1)).alias("known")))
+    backward = [F.col("known").desc(), F.col("shingle").desc()]
+    # An element of no other seeker finds nobody.
+    taken = (
+        elements.join(distances, "set")
+        .join(known, ["f", "shingle"])
+        .where(F.col("known") > F.col("seeks").cast("int"))
+        .withColumn("left_b", F.row_number().over(W.partitionBy("set").orderBy(*backward)))
+        .where("left_b >= least")
+        .select("f", "shingle", F.col("set").alias("b"), F.col("n").alias("nb"), F.col("c").alias("cb"), F.col("s").alias("sb"), F.col("seeks").alias("back"), "left_b")
+    )
+    sought = sought.join(known, ["f", "shingle"]).withColumn("left_a", F.row_number().over(W.partitionBy("a").orderBy(*backward))).drop("known")
+    pairs = _met_by_difference(sought, taken, percent).select(*_in_order())
+    inside = pairs.groupBy("a", "b", "na", "nb").agg(F.count(F.lit(1)).alias("both"))
+    return cut_lineage(inside), centred

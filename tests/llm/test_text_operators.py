@@ -152,6 +152,51 @@ def test_chains_of_near_copies(spark):
         assert ordered(found) == ordered(brute.near_duplicates(docs, percent))
 
 
+def _family(draw, copies: int, far: int, size: int = 120) -> list[tuple]:
+    """Copies of one text with few edits, and others with so many that most link with none."""
+    base = [f"w{i}" for i in range(size)]
+    docs = []
+    for d in range(copies + far):
+        words = list(base)
+        for _ in range(draw.randint(0, 4) if d < copies else draw.randint(4, 12)):
+            at, kind = draw.randrange(len(words)), draw.randrange(3)
+            words[at : at + (kind > 0)] = [] if kind == 2 else [draw.choice(["x", "y", f"n{draw.random()}"])]
+        docs.append((d, " ".join(words)))
+    return docs
+
+
+@pytest.mark.parametrize("percent", [75, 60, 90])
+def test_families_of_near_copies(spark, monkeypatch, percent):
+    monkeypatch.setattr(jaccard, "CROWD", 4)
+    draw = random.Random(percent)
+    docs = _family(draw, 60, 60)
+    # Another family nearby, and one of short texts whose sets are mostly small differences.
+    docs += [(200 + d, t.replace("w1", "v1")) for d, t in _family(draw, 25, 25)]
+    docs += [(300 + d, t) for d, t in _family(draw, 20, 20, 14)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    found = jaccard.near_duplicates(frame, percent=percent).collect()
+    assert ordered(found) == ordered(brute.near_duplicates(docs, percent))
+
+
+def test_sets_around_a_large_group_do_not_meet_it_pair_by_pair(spark, monkeypatch):
+    met = []
+    for name in ("_met_by_shingle", "_met_by_difference"):
+        def counted(*args, plain=getattr(jaccard, name)):
+            rows = plain(*args)
+            met.append(rows.count())
+            return rows
+        monkeypatch.setattr(jaccard, name, counted)
+    docs = _family(random.Random(4), 300, 200)
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    found = jaccard.near_duplicates(frame).collect()
+    expected = brute.near_duplicates(docs)
+    assert ordered(found) == ordered(expected)
+    apart = len({c for _, _, c in expected})
+    assert apart > 60
+    # Shingle by shingle they were 337,045.
+    assert len(met) == 2 and sum(met) < 40 * len(docs), (met, apart)
+
+
 # Decontamination
 
 ITEMS = [
